@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import bpe, chat
 
-_MODULES = [chat]
+_MODULES = [chat, bpe]
 
 
 def queries() -> dict:
