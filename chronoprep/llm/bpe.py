@@ -26,8 +26,8 @@ from .common import table
 
 SLICE_CHARS = 2_000_000
 MEMO_WORDS = 250_000
-#: Up to here every character is known to be normalised and split alike by the fast path.
-PLAIN = re.compile("[\x00-ɏ]*")
+#: Up to here every character, and its lower case, is known to be normalised and split alike by the fast path.
+PLAIN = re.compile("[\x00-ſ]*")
 
 
 def byte_symbols() -> list[str]:
@@ -59,8 +59,8 @@ class WordBPE:
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.inside = {pair for token in vocab for pair in self.pairs(token)}
         self.bytes = byte_symbols()
-        letters = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
-        digits = re.escape("".join(chr(c) for c in range(0x250) if chr(c).isnumeric()))
+        letters = "".join(chr(c) for c in range(0x180) if chr(c).isalpha())
+        digits = re.escape("".join(chr(c) for c in range(0x180) if chr(c).isnumeric()))
         blanks = r"\t-\r \x85\xa0"
         self.words = re.compile(rf"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{digits}]|[^{blanks}{letters}{digits}]+")
         self.memo: dict[str, tuple[int, ...]] = {}
