@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat
+from . import bpe, chat, vectors
 
-_MODULES = [chat, bpe]
+_MODULES = [chat, bpe, vectors]
 
 
 def queries() -> dict:
