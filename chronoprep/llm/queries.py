@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, vectors
+from . import bpe, chat, vectors, warc
 
-_MODULES = [chat, bpe, vectors]
+_MODULES = [chat, bpe, vectors, warc]
 
 
 def queries() -> dict:
