@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, vectors, warc
+from . import bpe, chat, toxicity, vectors, warc
 
-_MODULES = [chat, bpe, vectors, warc]
+_MODULES = [chat, vectors, toxicity, warc, bpe]
 
 
 def queries() -> dict:
