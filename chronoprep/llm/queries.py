@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, lines, toxicity, vectors, warc
+from . import bpe, chat, lines, neardup, toxicity, vectors, warc
 
-_MODULES = [chat, vectors, toxicity, warc, bpe, lines]
+_MODULES = [chat, vectors, neardup, toxicity, warc, bpe, lines]
 
 
 def queries() -> dict:
