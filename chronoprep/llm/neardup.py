@@ -9,7 +9,7 @@ agree with probability equal to the weighted Jaccard similarity.
 
 Exact copies are folded to one text first.  In each band a text is compared with its
 bucket's leaders, never with all of its bucket: those that match a leader are settled,
-the others form the next, smaller bucket with a leader of its own, until none is left.
+the others form the next, smaller bucket with leaders of its own, until none is left.
 Classes are the connected components of the verified links.
 
 Python computes shingles and signatures (loops over words and random processes, in
@@ -29,8 +29,8 @@ from .bpe import slices
 from .common import stash, table
 
 SHINGLE = 5
-COMPONENTS = 128
-ROWS = 4  # per band: at similarity 0.8 a pair meets in none of 32 bands with probability 5e-8
+COMPONENTS = 125
+ROWS = 5  # per band: at similarity 0.8 a pair meets in none of 25 bands with probability 5e-5
 THRESHOLD = 0.8
 SLICE_CHARS = 1_000_000
 
@@ -179,48 +179,97 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def links(texts: DataFrame) -> DataFrame:
-    """Verified ``leader, rep`` links between distinct texts that connect every class of a bucket."""
+    """Verified ``leader, rep`` links between distinct texts that connect every class of a bucket.
+
+    The leader of a bucket is its text that shares the most buckets with others, most
+    often the original that the others were made from.  After each round the leaders
+    and the members of their classes leave the bucket, also those that belong to them by
+    links found elsewhere; the rest go on.  Before the second round, texts that an exact
+    bound shows to have no partner among the rest leave too; from then on buckets are
+    dealt to more and more leaders at once, so stubborn ones end after a few rounds.
+    """
     spark = texts.sparkSession
-    member = bands(texts)
-    crowded = F.col("n") > 1
-    left = stash(member, "neardup-bands")
-    buckets = stash(left.groupBy("band").agg(F.count("*").alias("n")).where(crowded).select("band"), "neardup-buckets")
-    left = stash(left.join(buckets, "band"), "neardup-members")
-    found, done = None, None
-    while not left.isEmpty():
-        lead = stash(left.groupBy("band").agg(F.min("rep").alias("leader")), "neardup-leaders")
-        asked = left.join(lead, "band").where(F.col("rep") != F.col("leader"))
-        pairs = asked.select("leader", "rep").distinct()
+    member = stash(bands(texts), "neardup-bands")
+    sizes = stash(member.groupBy("band").agg((F.count("*") - 1).alias("others")).where("others > 0"), "neardup-buckets")
+    member = stash(member.join(sizes, "band"), "neardup-members")
+    degree = member.groupBy("rep").agg(F.sum("others").alias("degree"))
+    texts = stash(texts.join(stash(degree, "neardup-degrees"), "rep"), "neardup-crowded")
+    left = stash(member.select("rep", "band").join(texts.select("rep", "degree"), "rep"), "neardup-left")
+    root = found = done = None
+    leaders = 1
+    while True:
+        now = left.withColumn("root", F.col("rep")) if root is None else left.join(root, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        first = F.struct("degree", (-F.col("rep")).alias("last"), "root")
+        mixed = stash(now.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band"), "neardup-mixed")
+        if mixed.isEmpty():
+            break
+        now = stash(now.join(mixed, "band"), "neardup-now")
+        lead = now.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(leaders)).alias("lane")).agg(F.max(first).alias("top"))
+        lead = lead.select("band", (-F.col("top.last")).alias("leader"), F.col("top.root").alias("leader_root"))
+        asked = now.join(stash(lead, "neardup-leaders"), "band").where("root <> leader_root")
+        pairs = asked.select(F.least("rep", "leader").alias("leader"), F.greatest("rep", "leader").alias("rep")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["leader", "rep"], "left_anti")
         pairs = stash(pairs, "neardup-pairs")
-        good = stash(verified(pairs, texts).select("leader", "rep"), "neardup-links")
+        good = stash(verified(pairs, texts.select("rep", "text")).select("leader", "rep"), "neardup-links")
         found = good if found is None else found.unionByName(good)
         done = pairs if done is None else done.unionByName(pairs)
-        rest = asked.join(found, ["leader", "rep"], "left_anti").select("rep", "band")
-        rest = stash(rest, "neardup-rest")
-        again = stash(rest.groupBy("band").agg(F.count("*").alias("n")).where(crowded).select("band"), "neardup-buckets")
-        left = stash(rest.join(again, "band"), "neardup-members")
+        root = components(found)
+        of = lambda c: root.select(F.col("rep").alias(c), F.col("root").alias(f"{c}_now"))
+        classes = stash(
+            lead.join(of("leader"), "leader", "left").select("band", F.coalesce("leader_now", "leader").alias("rep_now")).distinct(), "neardup-led"
+        )
+        left = now.select("rep", "band", "degree").join(of("rep"), "rep", "left").withColumn("rep_now", F.coalesce("rep_now", "rep"))
+        left = stash(left.join(classes, ["band", "rep_now"], "left_anti").drop("rep_now"), "neardup-left")
+        if leaders == 1:
+            left = stash(possible(left, texts), "neardup-left")
+        leaders *= 8
     return found if found is not None else spark.createDataFrame([], "leader long, rep long")
 
 
+def possible(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``rep, band, degree`` rows whose text may still reach the threshold with another one of them.
+
+    Let s be the mass of a text's shingles that occur in any other remaining text, u the
+    rest, and v the smallest u in its bucket.  With a partner it shares at most s, while
+    the union holds s + u and the partner's own rest, so the similarity is at most
+    s / (s + u + v).
+    """
+    who = left.select("rep").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, int] = {}
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_CHARS):
+                doc, item, weight = shingles(part.column("text").to_pylist(), memo)
+                rep = part.column("rep").to_numpy()[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(item.view(np.int64)), pa.array(weight)], ["rep", "item", "weight"])
+
+    rows = stash(texts.join(who, "rep").select("rep", "text").mapInArrow(run, "rep long, item long, weight long"), "neardup-shingles")
+    alone = rows.groupBy("item").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"), F.max("weight").alias("weight")).where("rep = last")
+    mass = rows.groupBy("rep").agg(F.sum("weight").alias("total"))
+    own = alone.groupBy("rep").agg(F.sum("weight").alias("u"))
+    mass = stash(mass.join(own, "rep", "left").select("rep", "total", F.coalesce("u", F.lit(0)).alias("u")), "neardup-mass")
+    known = stash(left.join(mass, "rep"), "neardup-bound")
+    least = stash(known.groupBy("band").agg(F.min("u").alias("v")), "neardup-least")
+    return known.join(least, "band").where((F.col("total") - F.col("u")) >= THRESHOLD * (F.col("total") + F.col("v")) - 1e-6).select("rep", "band", "degree")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``rep, root``: the smallest member of each connected component, for all ends of ``leader, rep`` edges.
 
-    Every round hooks neighbours to the smallest root they touch and then halves paths.
+    In every round each tree moves to the smallest root that any of its members
+    touches, so the number of rounds follows the logarithm of a component's diameter
+    in trees rather than its diameter.
     """
-    both = stash(
-        edges.select(F.col("leader").alias("a"), F.col("rep").alias("b")).unionByName(edges.select(F.col("rep").alias("a"), F.col("leader").alias("b"))).distinct(),
-        "component-edges",
-    )
+    ends = F.array(F.struct(F.col("leader").alias("a"), F.col("rep").alias("b")), F.struct(F.col("rep").alias("a"), F.col("leader").alias("b")))
+    both = stash(edges.select(F.explode(ends).alias("e")).select("e.*").distinct(), "component-edges")
     label = stash(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "component-labels")
     while True:
-        known = label.select(F.col("rep").alias("b"), "root")
-        near = stash(both.join(known, "b").groupBy(F.col("a").alias("rep")).agg(F.min("root").alias("seen")), "component-near")
-        # a root follows the smallest root that any of its members touches, so labels move along whole trees
-        step = label.join(near, "rep")
-        hooks = stash(step.groupBy("root").agg(F.min(F.least("seen", "root")).alias("to")), "component-hooks")
-        new = stash(label.join(hooks, "root").select("rep", F.col("to").alias("root"), (F.col("to") != F.col("root")).alias("moved")), "component-labels")
+        known = label.select(F.col("rep").alias("b"), F.col("root").alias("seen"))
+        step = both.join(known, "b").join(label.select(F.col("rep").alias("a"), "root"), "a")
+        hooks = step.groupBy("root").agg(F.least(F.min("seen"), F.col("root")).alias("to"))
+        new = stash(label.join(stash(hooks, "component-hooks"), "root").select("rep", F.col("to").alias("root"), (F.col("to") != F.col("root")).alias("moved")), "component-labels")
         if new.where("moved").isEmpty():
             return label
         label = new.select("rep", "root")
@@ -229,8 +278,8 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, text_id, class_id, n_links`` for each document.
 
-    ``text_id`` is the smallest id of the documents whose words are the same in the same
-    order (case and blanks aside), ``class_id`` that of its class: documents connected by
+    ``text_id`` is the smallest id of the documents with the very same text (by a 128-bit
+    hash), ``class_id`` that of its class: documents connected by
     links of weighted Jaccard similarity of at least 0.8 between five-word shingle
     multisets.  A text of fewer than five words is one shingle of all its words; null and
     empty texts have no shingle and are each a class of their own, as are rows with a
@@ -239,11 +288,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for each text and share the smallest class.
     """
     kept = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # the same words: blanks are normalised away as str.split does for the common ones
-    plain = F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))
-    ids = kept.select("doc_id", F.when(plain == "", F.concat(F.lit("empty "), F.col("doc_id").cast("string"))).otherwise(F.sha2(plain, 256)).alias("same"))
-    folded = stash(ids.groupBy("same").agg(F.min("doc_id").alias("text_id")), "neardup-folded")
-    of = stash(ids.join(folded, "same").select("doc_id", "text_id"), "neardup-copies")
+    blank = ~F.col("text").rlike(r"\S")
+    ids = stash(
+        kept.select("doc_id", F.when(blank, F.col("doc_id")).otherwise(F.xxhash64("text")).alias("a"), F.when(blank, F.lit(0)).otherwise(F.xxhash64(F.lit(7), "text")).alias("b")),
+        "neardup-ids",
+    )
+    folded = stash(ids.groupBy("a", "b").agg(F.min("doc_id").alias("text_id")), "neardup-folded")
+    of = stash(ids.join(folded, ["a", "b"]).select("doc_id", "text_id"), "neardup-copies")
     texts = stash(
         kept.join(of.where(F.col("doc_id") == F.col("text_id")).select("doc_id").distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text"),
         "neardup-texts",
