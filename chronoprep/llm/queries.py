@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, lines, neardup, suffix, toxicity, vectors, warc
+from . import bpe, chat, lines, mixing, neardup, suffix, toxicity, vectors, warc
 
-_MODULES = [chat, vectors, suffix, neardup, toxicity, warc, bpe, lines]
+_MODULES = [chat, vectors, suffix, neardup, toxicity, warc, bpe, mixing, lines]
 
 
 def queries() -> dict:
