@@ -25,8 +25,8 @@ from .common import stash, table
 MEASURES = ("distinct", "letters", "capitals", "word_chars", "line_chars")
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_mark, tokens`` and the measures of each text; an empty text has no tokens and measures 0."""
+def measured(docs: DataFrame, *carry: str) -> DataFrame:
+    """``doc_id, text_mark, tokens``, the measures of each text and the columns named; an empty text has no tokens."""
     text = F.coalesce("text", F.lit(""))
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
     base = docs.select(
@@ -38,6 +38,7 @@ def measured(docs: DataFrame) -> DataFrame:
         F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")).alias("no_capitals"),
         F.length(F.translate(text, "!\"#$%&'()*+-/0123456789:;<=>?@[\\]^_`{|}~", "")).alias("no_marks"),
         F.size(F.split(text, "\n", -1)).alias("lines"),
+        *carry,
     )
     n, c = F.greatest("tokens", F.lit(1)), F.greatest("chars", F.lit(1))
     return base.select(
@@ -47,6 +48,7 @@ def measured(docs: DataFrame) -> DataFrame:
         ((F.col("chars") - F.col("no_capitals")) / c).alias("capitals"),
         F.least(F.col("chars") / n, F.lit(50.0)).alias("word_chars"),
         F.log1p(F.col("chars") / F.col("lines")).alias("line_chars"),
+        *carry,
     )
 
 
@@ -142,28 +144,51 @@ def rates(soft: DataFrame, p: list[str], weights: list[float], steps: int = 25,
     return F.when(F.col("tokens") > 0, rate).otherwise(1.0), target, reached
 
 
-def mix_domains(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """``doc_id, text_mark, tokens, p_<domain>..., rate, copies``: one row for each document.
-
-    ``labelled`` has ``doc_id, domain``; ``weights`` gives the wanted share of tokens of each
-    domain (scaled to 1; a labelled domain without weight gets none).  ``copies`` is the rate
-    rounded up or down by a hash of the id and text, so that its expectation is the rate.
-    Documents without tokens, and all if no label matches, have rate 1.  Null ids are kept;
-    rows that repeat have equal results; columns beside ``doc_id, text`` are ignored.
-    """
+def plan(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]) -> tuple[DomainModel, Column, DataFrame]:
+    """The fitted model, the rate column over its posteriors, and the measured documents."""
     known = stash(measured(docs.select("doc_id", "text")), "mixing-measures")
     model = fit_domains(known, labelled.select("doc_id", "domain"))
-    names = [f"p_{d}" for d in model.domains]
-    soft = known.select("doc_id", "text_mark", "tokens", *[x.alias(n) for n, x in zip(names, model.posteriors())])
     share = [max(0.0, weights.get(d, 0.0)) for d in model.domains]
-    if sum(share) <= 0:
-        rate = F.lit(1.0)
-    else:
-        rate, _, _ = rates(soft, names, [x / sum(share) for x in share])
+    rate = F.lit(1.0)
+    if sum(share) > 0:
+        rate, _, _ = rates(with_posteriors(known, model), posterior_names(model), [x / sum(share) for x in share])
+    return model, rate, known
+
+
+def posterior_names(model: DomainModel) -> list[str]:
+    return [f"p_{d}" for d in model.domains]
+
+
+def with_posteriors(known: DataFrame, model: DomainModel, *carry: str) -> DataFrame:
+    return known.select("doc_id", "text_mark", "tokens", *[x.alias(n) for n, x in zip(posterior_names(model), model.posteriors())], *carry)
+
+
+def with_copies(soft: DataFrame, rate: Column) -> DataFrame:
+    """``rate``, and ``copies``: the rate rounded up or down by a hash of id and text, so that its expectation is the rate."""
     dice = F.pmod(F.xxhash64(F.lit("mixing"), "doc_id", "text_mark"), F.lit(1 << 40)) / float(1 << 40)
     return soft.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + dice).cast("int"))
 
 
+def mix_domains(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """``doc_id, text_mark, tokens, p_<domain>..., rate, copies``: one row for each document.
+
+    ``labelled`` has ``doc_id, domain``; ``weights`` gives the wanted share of tokens of each
+    domain (scaled to 1; a labelled domain without weight gets none).  Documents without
+    tokens, and all if no label matches, have rate 1.  Null ids are kept; rows that repeat
+    have equal results; columns beside ``doc_id, text`` are ignored.
+    """
+    model, rate, known = plan(docs, labelled, weights)
+    return with_copies(with_posteriors(known, model), rate)
+
+
+def repeated(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix_domains`` says, without moving any text."""
+    model, rate, _ = plan(docs, labelled, weights)
+    rows = measured(docs.select("doc_id", "text", F.struct("*").alias("row")), "row")
+    chosen = with_copies(with_posteriors(rows, model, "row"), rate).where("copies > 0")
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+
+
 #: Wanted shares of tokens by labelled quality.
 WEIGHTS = {"good": 0.9, "poor": 0.1}
 

@@ -164,6 +164,18 @@ def score_toxicity(df: DataFrame, model: OrdinalModel, threshold: float = 0.5) -
     )
 
 
+def drop_toxic(df: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``df`` that ``score_toxicity`` does not reject, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = np.array([model.score(t) for t in b.column("text").to_pylist()])
+            if len(s):
+                yield b.filter(pa.array(model.at_least(s)[:, 0] < threshold))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled documents with grades: 0 not toxic, 1 toxic in a text of good quality, 2 toxic in a poor one."""
     marks = labels.where(F.col("toxic").isNotNull()).select(

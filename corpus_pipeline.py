@@ -1,8 +1,71 @@
-"""Corpus pipeline (placeholder until all its stages exist)."""
+"""From raw documents to token ids, in five stages.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and returns the documents that go on, with
+the columns of ``documents`` (the last one: token ids).  Whoever runs them writes each
+result as Parquet and reads it back before the next stage, as ``run`` does.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chronoprep.llm import bpe, lines, mixing, neardup, toxicity
+from chronoprep.llm.common import stash, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, fitted on the labelled ones among them, does not reject."""
+    model = toxicity.fit_toxicity(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.drop_toxic(docs, model)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later repeated runs of lines; those of which nothing is left go."""
+    out = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", chars).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: that with the smallest id.  Rows with a null id stay."""
+    classes = neardup.near_duplicates(docs)
+    kept = classes.where("doc_id = class_id").select("doc_id").distinct()
+    whole = docs.where("doc_id is not null")
+    out = whole.join(stash(kept, "pipeline-kept"), "doc_id", "left_semi")
+    if not whole.groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    return out.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that the expected share of tokens of each quality domain meets its weight."""
+    labelled = mixing.quality_domains(table(spark, sf_dir, "labels"))
+    return mixing.repeated(docs, labelled, mixing.WEIGHTS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of the whole texts."""
+    import public_tokenizers
+
+    out = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), decoded=False)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", dedup_lines),
+    ("near duplicates", drop_near_duplicates),
+    ("mixing", mix),
+    ("encoding", encode),
+]
+
+#: Fitted models, signatures and merges have no SQL form; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stash(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
