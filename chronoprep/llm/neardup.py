@@ -32,7 +32,7 @@ SHINGLE = 5
 COMPONENTS = 125
 ROWS = 5  # per band: at similarity 0.8 a pair meets in none of 25 bands with probability 5e-5
 THRESHOLD = 0.8
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 400_000
 
 U = np.uint64
 _PHI = U(0x9E3779B97F4A7C15)
@@ -56,7 +56,7 @@ def word_hashes(texts: list[str], memo: dict[str, int]) -> tuple[np.ndarray, np.
         try:
             out.append(np.array([memo[x] for x in w], U))
         except KeyError:
-            if len(memo) > 200_000:
+            if len(memo) > 60_000:
                 memo.clear()
             for x in w:
                 if x not in memo:
@@ -147,6 +147,10 @@ def bands(texts: DataFrame) -> DataFrame:
         n_bands = COMPONENTS // ROWS
         for batch in batches:
             for part in slices(batch, "text", SLICE_CHARS):
+                # of equal texts in the slice the one with the smallest id stands for all
+                order = np.argsort(part.column("rep").to_numpy(), kind="stable")
+                text = part.column("text").to_pylist()
+                part = part.take(pa.array(sorted({text[i]: i for i in order[::-1].tolist()}.values())))
                 doc, item, weight = shingles(part.column("text").to_pylist(), memo)
                 sig = bag_min_hash(doc, item, weight, len(part))
                 acc = np.broadcast_to(np.arange(n_bands, dtype=U), (len(part), n_bands)) + U(1)
@@ -178,7 +182,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def links(texts: DataFrame) -> DataFrame:
+def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     """Verified ``leader, rep`` links between distinct texts that connect every class of a bucket.
 
     The leader of a bucket is its text that shares the most buckets with others, most
@@ -189,11 +193,12 @@ def links(texts: DataFrame) -> DataFrame:
     dealt to more and more leaders at once, so stubborn ones end after a few rounds.
     """
     spark = texts.sparkSession
-    member = stash(bands(texts), "neardup-bands")
+    member = stash(bands(texts).join(reps, "rep", "left_semi"), "neardup-bands")
     sizes = stash(member.groupBy("band").agg((F.count("*") - 1).alias("others")).where("others > 0"), "neardup-buckets")
     member = stash(member.join(sizes, "band"), "neardup-members")
     degree = member.groupBy("rep").agg(F.sum("others").alias("degree"))
-    texts = stash(texts.join(stash(degree, "neardup-degrees"), "rep"), "neardup-crowded")
+    # merged whatever the size, so that the cost of moving texts is in proportion to the input
+    texts = stash(texts.join(stash(degree, "neardup-degrees").hint("merge"), "rep").groupBy("rep", "degree").agg(F.min("text").alias("text")), "neardup-crowded")
     left = stash(member.select("rep", "band").join(texts.select("rep", "degree"), "rep"), "neardup-left")
     root = found = done = None
     leaders = 1
@@ -223,7 +228,7 @@ def links(texts: DataFrame) -> DataFrame:
         left = stash(left.join(classes, ["band", "rep_now"], "left_anti").drop("rep_now"), "neardup-left")
         if leaders == 1:
             left = stash(possible(left, texts), "neardup-left")
-        leaders *= 8
+        leaders *= 32
     return found if found is not None else spark.createDataFrame([], "leader long, rep long")
 
 
@@ -284,8 +289,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     multisets.  A text of fewer than five words is one shingle of all its words; null and
     empty texts have no shingle and are each a class of their own, as are rows with a
     null id, which get null classes.  ``n_links`` counts the verified links of the text
-    to other texts.  Rows that repeat an id with different texts count as one document
-    for each text and share the smallest class.
+    to other texts.  Rows that repeat an id with different texts are one document that
+    meets others by any of its texts and is verified by the first of them in text order.
     """
     kept = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     blank = ~F.col("text").rlike(r"\S")
@@ -295,11 +300,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     folded = stash(ids.groupBy("a", "b").agg(F.min("doc_id").alias("text_id")), "neardup-folded")
     of = stash(ids.join(folded, ["a", "b"]).select("doc_id", "text_id"), "neardup-copies")
-    texts = stash(
-        kept.join(of.where(F.col("doc_id") == F.col("text_id")).select("doc_id").distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text"),
-        "neardup-texts",
-    )
-    found = stash(links(texts), "neardup-found")
+    reps = folded.select(F.col("text_id").alias("rep"))
+    found = stash(links(kept.withColumnRenamed("doc_id", "rep"), reps), "neardup-found")
     roots = components(found)
     ends = found.select(F.explode(F.array("leader", "rep")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     classes = stash(roots.join(ends, "rep"), "neardup-classes")
