@@ -235,21 +235,28 @@ class RunIndex:
         key = np.zeros(n, U)
         for k in range(7):
             key = (key << U(9)) | wide[k : n + k]
+        # prefix doubling; a rank is the place of the first suffix of its tie, and only ties are sorted again
+        sa = np.argsort(key)
+        rank = np.empty(n, np.int64)
+        tied = sa_tied = None
         have, exact = 7, None
+        head = np.r_[True, key[sa[1:]] != key[sa[:-1]]]
+        place = np.arange(n)
         while True:
-            sa = np.argsort(key, kind="stable")
-            sorted_key = key[sa]
-            new = np.r_[True, sorted_key[1:] != sorted_key[:-1]]
-            rank = np.empty(n, np.int64)
-            rank[sa] = np.cumsum(new) - 1
+            rank[sa if tied is None else sa_tied] = np.maximum.accumulate(np.where(head, place, 0))
             if have * 2 > length and exact is None:
-                exact, step = rank, length - have  # two overlapping stretches cover `length`
-            if new.all():
+                exact, step = rank.copy(), length - have  # two overlapping stretches cover `length`
+            single = head & np.r_[head[1:], True]
+            if single.all():
                 break
-            behind = np.zeros(n, np.int64)
-            if have < n:
-                behind[: n - have] = rank[have:] + 1
-            key = rank.astype(U) * U(n + 1) + behind.astype(U)
+            place = place[~single]
+            tied = (sa if tied is None else sa_tied)[~single]
+            behind = tied + have
+            key = rank[tied] * (n + 1) + np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
+            by = np.argsort(key)
+            sa_tied, key = tied[by], key[by]
+            sa[place] = sa_tied
+            head = np.r_[True, key[1:] != key[:-1]]
             have *= 2
         if exact is None:
             return sa, np.zeros(n, bool)
