@@ -188,9 +188,10 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     The leader of a bucket is its text that shares the most buckets with others, most
     often the original that the others were made from.  After each round the leaders
     and the members of their classes leave the bucket, also those that belong to them by
-    links found elsewhere; the rest go on.  Before the second round, texts that an exact
-    bound shows to have no partner among the rest leave too; from then on buckets are
-    dealt to more and more leaders at once, so stubborn ones end after a few rounds.
+    links found elsewhere; the rest go on.  Between rounds, texts that an exact bound shows
+    to have no partner among the rest leave too.  After the first round a growing share
+    of the rest, chosen by a hash, leads, so stubborn buckets end after a few rounds; two
+    leaders are compared once.
     """
     spark = texts.sparkSession
     member = stash(bands(texts).join(reps, "rep", "left_semi"), "neardup-bands")
@@ -201,7 +202,8 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     texts = stash(texts.join(stash(degree, "neardup-degrees").hint("merge"), "rep").groupBy("rep", "degree").agg(F.min("text").alias("text")), "neardup-crowded")
     left = stash(member.select("rep", "band").join(texts.select("rep", "degree"), "rep"), "neardup-left")
     root = found = done = None
-    leaders = 1
+    shares = iter((16, 4, 1))  # one of so many leads
+    share = None
     while True:
         now = left.withColumn("root", F.col("rep")) if root is None else left.join(root, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         first = F.struct("degree", (-F.col("rep")).alias("last"), "root")
@@ -209,9 +211,15 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
         if mixed.isEmpty():
             break
         now = stash(now.join(mixed, "band"), "neardup-now")
-        lead = now.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(leaders)).alias("lane")).agg(F.max(first).alias("top"))
-        lead = lead.select("band", (-F.col("top.last")).alias("leader"), F.col("top.root").alias("leader_root"))
-        asked = now.join(stash(lead, "neardup-leaders"), "band").where("root <> leader_root")
+        if share is None:
+            lead = now.groupBy("band").agg(F.max(first).alias("top"))
+            lead = lead.select("band", (-F.col("top.last")).alias("leader"), F.col("top.root").alias("leader_root"))
+            leads = F.lit(False)
+        else:
+            leads = F.pmod(F.xxhash64("rep"), F.lit(share)) == 0
+            lead = now.where(leads).select("band", F.col("rep").alias("leader"), F.col("root").alias("leader_root"))
+        lead = stash(lead, "neardup-leaders")
+        asked = now.join(lead, "band").where((F.col("root") != F.col("leader_root")) & (~leads | (F.col("rep") > F.col("leader"))))
         pairs = asked.select(F.least("rep", "leader").alias("leader"), F.greatest("rep", "leader").alias("rep")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["leader", "rep"], "left_anti")
@@ -226,9 +234,8 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
         )
         left = now.select("rep", "band", "degree").join(of("rep"), "rep", "left").withColumn("rep_now", F.coalesce("rep_now", "rep"))
         left = stash(left.join(classes, ["band", "rep_now"], "left_anti").drop("rep_now"), "neardup-left")
-        if leaders == 1:
-            left = stash(possible(left, texts), "neardup-left")
-        leaders *= 32
+        left = stash(possible(left, texts), "neardup-left")
+        share = next(shares, 1)
     return found if found is not None else spark.createDataFrame([], "leader long, rep long")
 
 
