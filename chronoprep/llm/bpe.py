@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 SLICE_CHARS = 2_000_000
 MEMO_WORDS = 250_000
@@ -205,6 +205,7 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
                     columns.append(pa.array([codec.decode(x) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"][: len(columns)])
 
+    small_batches(df)
     kind = df.schema[id_col].dataType.simpleString()
     out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, ids array<int>" + ", decoded string" * decoded

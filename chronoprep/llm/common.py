@@ -36,5 +36,21 @@ def stash(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000, size: int = 8 << 20) -> DataFrame:
+    """``df``, after bounding what Arrow hands over at once.
+
+    Whole texts pass through Arrow buffers on both sides, beside the heap, and the
+    default of 10,000 rows makes them large.  The settings are the session's and are
+    only ever lowered.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    now = conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    if now and now.rstrip("b").isdigit() and int(now.rstrip("b")) > size:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{size}b")
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import stash, table
+from .common import small_batches, stash, table
 
 SHINGLE = 5
 COMPONENTS = 125
@@ -299,6 +299,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     to other texts.  Rows that repeat an id with different texts are one document that
     meets others by any of its texts and is verified by the first of them in text order.
     """
+    docs = small_batches(docs)
     kept = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     blank = ~F.col("text").rlike(r"\S")
     ids = stash(

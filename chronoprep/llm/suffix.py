@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import small_batches, stash, table
 
 LENGTH = 100
 GRAM = 24
-PIECE = 1 << 21  # bytes hashed at once; far below the 2^24 places that fit beside a 40-bit hash
+PIECE = 1 << 19  # bytes hashed at once; far below the 2^24 places that fit beside a 40-bit hash
 BLOCK = 1 << 21  # bytes indexed at once
 CROWD = 2000  # distinct windows of a minimiser beyond which its strings are dealt singly
 NO_ID = -(2**63)
@@ -157,15 +157,17 @@ def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 WINDOW = "h long, c long, key long, mark long, place long, fresh boolean"
 
 
-def groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[dict[str, np.ndarray]]:
-    """Rows sorted by ``h``, in blocks that hold whole groups of ``h``."""
+def groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], least: int = 1) -> Iterator[dict[str, np.ndarray]]:
+    """Rows sorted by ``h``, in blocks of about ``least`` rows or more that hold whole groups of ``h``."""
     held: dict[str, list] = {c: [] for c in columns}
+    n = 0
     for batch in batches:
         if not len(batch):
             continue
         h = batch.column("h").to_numpy()
-        last = int(np.searchsorted(h, h[-1]))
-        if held["h"] and held["h"][-1][-1] == h[-1]:
+        n += len(h)
+        last = int(np.searchsorted(h, h[-1]))  # the last group may go on
+        if not last or n < least:
             last = 0
         for c in columns:
             x = batch.column(c).to_numpy(zero_copy_only=False)
@@ -173,13 +175,14 @@ def groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Itera
         if last:
             yield {c: np.concatenate(v) for c, v in held.items()}
             held = {c: [batch.column(c).to_numpy(zero_copy_only=False)[last:]] for c in columns}
+            n = len(h) - last
     if held["h"]:
         yield {c: np.concatenate(v) for c, v in held.items()}
 
 
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fold equal windows: ``crowd`` 0 is a repeat as a whole, otherwise the number of distinct windows of its minimiser."""
-    for g in groups(batches, ("h", "c", "key", "mark", "place")):
+    for g in groups(batches, ("h", "c", "key", "mark", "place"), 50_000):
         order = np.lexsort((g["place"], g["mark"], g["key"], g["c"], g["h"]))
         g = {c: v[order] for c, v in g.items()}
         h, c = g["h"], g["c"]
@@ -329,7 +332,7 @@ def emit_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``key, mark, place`` (place as start * 256 + count) of the repeats among windows that are dealt by ``h``."""
     held: list[dict] = []
     size = 0
-    for g in groups(batches, ("h", "key", "mark", "place", "bytes")):
+    for g in groups(batches, ("h", "key", "mark", "place", "bytes"), 5_000):
         held.append(g)
         size += sum(map(len, g["bytes"]))
         if size >= BLOCK:
@@ -457,7 +460,7 @@ def remove_repeats(df: DataFrame) -> DataFrame:
     come first; rows that repeat an id are ordered by a hash of their text, and rows equal
     in both are one document with the same result; other columns are ignored.
     """
-    docs = df.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    docs = small_batches(df).select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     twice = docs.groupBy("key").count().where("count > 1").limit(1).count() > 0
     docs = docs.withColumn("mark", F.xxhash64("text") if twice else F.lit(0).cast("long"))
     gone = repeated_strings(docs.select("key", "mark", "text"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import small_batches, stash, table
 
 #: Split at blanks and strip punctuation, digits and case: what is left of a word is a feature.
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalpha()) + "«»“”„‘’…¡¿—–"
@@ -159,7 +159,7 @@ def score_toxicity(df: DataFrame, model: OrdinalModel, threshold: float = 0.5) -
                 ["doc_id", "expected_severity", "grade", "p_toxic", "rejected"],
             )
 
-    return df.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return small_batches(df).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, expected_severity double, grade int, p_toxic double, rejected boolean"
     )
 
@@ -173,7 +173,7 @@ def drop_toxic(df: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> Da
             if len(s):
                 yield b.filter(pa.array(model.at_least(s)[:, 0] < threshold))
 
-    return df.mapInArrow(run, df.schema)
+    return small_batches(df).mapInArrow(run, df.schema)
 
 
 def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, stash, table
+from .common import scratch, small_batches, stash, table
 
 BLOCK = 1 << 16
 CRLF = b"\r\n"
@@ -54,7 +54,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 1000) -> DataFram
     have no payload of their own but carry its digest and length.  Null record ids are
     written as records of their own with an empty id and never merged.
     """
-    pages = pages.select(
+    pages = small_batches(pages).select(
         F.col("record_id").cast("long"), F.col("uri").cast("string"), F.coalesce(F.col("payload").cast("binary"), F.lit(b"")).alias("payload")
     )
     shared = stash(decisions(pages.where(F.col("record_id").isNotNull()), min_bytes), "warc-shared")
