@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import fresh, stash, table
 
 RUN = 3
 NO_ID = -(2**63)
@@ -89,19 +89,20 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     an input that has ``n_lines`` or ``n_removed`` gets them replaced.
     """
     own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    gone = repeated_lines(keyed(docs), run).withColumnsRenamed({"key": "_key", "mark": "_mark", "gone": "_gone"})
+    key, mark, gone = (fresh(docs, c) for c in ("_key", "_mark", "_gone"))
+    found = repeated_lines(keyed(docs), run).withColumnsRenamed({"key": key, "mark": mark, "gone": gone})
     text = F.coalesce("text", F.lit(""))
-    joined = docs.withColumns({"_key": F.coalesce("doc_id", F.lit(NO_ID)), "_mark": F.xxhash64(text)}).join(gone, ["_key", "_mark"], "left")
+    joined = docs.withColumns({key: F.coalesce("doc_id", F.lit(NO_ID)), mark: F.xxhash64(text)}).join(found, [key, mark], "left")
     lines = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    cleaned = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    cleaned = F.when(F.col(gone).isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     )
     return joined.select(
         *[F.col(f"`{c}`") for c in own],
         cleaned.alias("text"),
         F.when(text == "", 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

@@ -114,6 +114,7 @@ def searched(
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         dealt.mapInArrow(run, schema)
+        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # rows that repeat an id are one
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
