@@ -30,19 +30,20 @@ def fill_linear(df: DataFrame, columns: list[str], order_by: list[str], partitio
         placed = with_position(df, order_by).withColumn("_block", F.floor(F.col(POSITION) / BLOCK).cast("long")).withColumns({f"_k_{c}": known(c) for c in columns})
         # one row a block, so this window is over (rows / BLOCK) rows
         ends = placed.groupBy("_block").agg(*[f(f"_k_{c}").alias(f"{n}_{c}") for c in columns for n, f in (("_low", F.min), ("_high", F.max))])
-        series = Window.partitionBy(F.lit(0)).orderBy("_block")
+        series, after = Window.partitionBy(F.lit(0)).orderBy("_block"), Window.partitionBy(F.lit(0)).orderBy(F.desc("_block"))
         ends = ends.select(
             "_block",
             *[F.last(f"_high_{c}", True).over(series.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_b_{c}") for c in columns],
-            *[F.first(f"_low_{c}", True).over(series.rowsBetween(1, Window.unboundedFollowing)).alias(f"_a_{c}") for c in columns],
+            *[F.last(f"_low_{c}", True).over(after.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_a_{c}") for c in columns],
         )
         placed = placed.join(ends, "_block")
         keys = ["_block"]
         edge = {c: (F.col(f"_b_{c}"), F.col(f"_a_{c}")) for c in columns}
-    w = Window.partitionBy(*keys).orderBy(POSITION)
+    w = Window.partitionBy(*keys).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy(*keys).orderBy(F.desc(POSITION)).rowsBetween(Window.unboundedPreceding, 0)  # a frame that only grows costs one pass
     near = {}
     for c in columns:
-        near[f"_p_{c}"] = F.coalesce(F.last(f"_k_{c}", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), edge[c][0])
-        near[f"_n_{c}"] = F.coalesce(F.first(f"_k_{c}", True).over(w.rowsBetween(0, Window.unboundedFollowing)), edge[c][1])
+        near[f"_p_{c}"] = F.coalesce(F.last(f"_k_{c}", True).over(w), edge[c][0])
+        near[f"_n_{c}"] = F.coalesce(F.last(f"_k_{c}", True).over(back), edge[c][1])
     out = placed.withColumns(near).withColumns({c: lerp(F.col(c).cast("double"), F.col(f"_p_{c}"), F.col(f"_n_{c}")) for c in columns})
     return out.select(*df.columns)

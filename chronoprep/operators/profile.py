@@ -40,11 +40,13 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     wide = df.agg(*[
         F.struct(
             F.lit(c).alias("feature"), F.count(x(c)).alias("count"), F.avg(x(c)).alias("mean"), F.stddev_samp(x(c)).alias("std"), F.min(x(c)).alias("min"),
-            *[F.percentile(x(c), p).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))], F.max(x(c)).alias("max"),
+            F.percentile(x(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("p"), F.max(x(c)).alias("max"),
         ).alias(f"s{i}")
         for i, c in enumerate(columns)
     ])
-    return wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(columns))])).alias("e")).select("e.*")
+    quarters = [F.get("e.p", i).alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
+    wide = wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(columns))])).alias("e"))
+    return wide.select("e.feature", "e.count", "e.mean", "e.std", "e.min", *quarters, "e.max")
 
 
 def text_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
