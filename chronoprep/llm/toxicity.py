@@ -61,7 +61,7 @@ class OrdinalModel:
 
 
 def fit_ordinal(
-    rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, n_words: int, grades: int, steps: int = 150, l1: float = 3e-4
+    rows: np.ndarray, columns: np.ndarray, grade: np.ndarray, n_words: int, grades: int, steps: int = 300, l1: float = 3e-5
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and cuts of the cumulative logit model, by full-batch Adam on the mean log-likelihood.
 
@@ -95,13 +95,17 @@ def fit_ordinal(
     return theta[:n_words], theta[n_words] + np.concatenate([[0], np.cumsum(np.exp(theta[n_words + 1 :]))])
 
 
-def fit_toxicity(labelled: DataFrame, max_rows: int = 10_000, max_words: int = 50_000, min_rows: int = 4) -> OrdinalModel:
+def fit_toxicity(
+    labelled: DataFrame, max_rows: int = 10_000, max_words: int = 50_000, min_rows: int = 3, lift: float = 3.0, levels: int = 2
+) -> OrdinalModel:
     """Fit on at most ``max_rows`` labelled rows (``doc_id, text, grade``), chosen by a hash of doc_id.
 
-    The bound is on the rows that fit the model, never on those it scores.  Features in
-    fewer than ``min_rows`` sampled rows are left out, and of the others the
-    ``max_words`` in most rows are kept.  Rows with null grade are ignored; without
-    any row, or with a single grade, nothing is toxic.
+    The bound is on the rows that fit the model, never on those it scores.  A feature
+    needs ``min_rows`` toxic rows and a share among them of ``lift`` times its share among
+    all; of more than ``max_words`` those in most toxic rows are kept.  Where the labels
+    know toxic rows of one grade only, a first fit ranks these by evidence and they get
+    the grades 1 to ``levels`` in equal parts, so that severity is graded.  Rows with null
+    grade are ignored; without any row, or with a single grade, nothing is toxic.
     """
     kept = labelled.where(F.col("grade").isNotNull()).select("doc_id", "text", F.col("grade").cast("int").alias("grade"))
     sample = kept.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
@@ -115,11 +119,13 @@ def fit_toxicity(labelled: DataFrame, max_rows: int = 10_000, max_words: int = 5
 
     spread = stash(sample, "toxicity-sample").repartition(24)
     seen = stash(spread.mapInArrow(count, "doc_id long, grade int, words array<string>"), "toxicity-words")
+    total = seen.agg(F.count("*").alias("n"), F.count_if(F.col("grade") > 0).alias("t")).first()
     vocabulary = [
         r.word
-        for r in seen.select(F.explode("words").alias("word"))
-        .groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
-        .orderBy(F.desc("n"), "word").limit(max_words).collect()
+        for r in seen.select("grade", F.explode("words").alias("word"))
+        .groupBy("word").agg(F.count("*").alias("n"), F.count_if(F.col("grade") > 0).alias("t"))
+        .where((F.col("t") >= min_rows) & (F.col("t") * F.lit(float(total["n"])) > lift * total["t"] * F.col("n")))
+        .orderBy(F.desc("t"), "word").limit(max_words).collect()
     ]
     at = {w: i for i, w in enumerate(vocabulary)}
 
@@ -136,7 +142,13 @@ def fit_toxicity(labelled: DataFrame, max_rows: int = 10_000, max_words: int = 5
     sizes = np.diff(lists.offsets.to_numpy())
     rows = np.repeat(np.arange(len(grade)), sizes)
     order = np.lexsort((rows, lists.flatten().to_numpy()))  # the same sums whatever order the rows came in
-    w, cuts = fit_ordinal(rows[order], lists.flatten().to_numpy()[order], grade, len(vocabulary), int(grade.max()) + 1)
+    rows, columns = rows[order], lists.flatten().to_numpy()[order]
+    if grade.max() == 1 and levels > 1:
+        w, _ = fit_ordinal(rows, columns, grade, len(vocabulary), 2)
+        evidence = np.bincount(rows, w[columns], len(grade))
+        inner = np.quantile(evidence[grade > 0], np.arange(1, levels) / levels)
+        grade = np.where(grade > 0, 1 + np.searchsorted(inner, evidence, "left"), 0)
+    w, cuts = fit_ordinal(rows, columns, grade, len(vocabulary), int(grade.max()) + 1)
     used = np.flatnonzero(w)
     return OrdinalModel({vocabulary[i]: k for k, i in enumerate(used)}, w[used], cuts)
 
@@ -177,10 +189,8 @@ def drop_toxic(df: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> Da
 
 
 def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents with grades: 0 not toxic, 1 toxic in a text of good quality, 2 toxic in a poor one."""
-    marks = labels.where(F.col("toxic").isNotNull()).select(
-        "doc_id", F.when(F.col("toxic") == 0, 0).otherwise(F.when(F.col("quality") == 0, 2).otherwise(1)).alias("grade")
-    )
+    """Labelled documents with grade 0 or 1, by the mark ``toxic``."""
+    marks = labels.where(F.col("toxic").isNotNull()).select("doc_id", F.when(F.col("toxic") == 0, 0).otherwise(1).alias("grade"))
     return docs.select("doc_id", "text").join(marks, "doc_id")
 
 
