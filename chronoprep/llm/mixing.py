@@ -185,6 +185,9 @@ def repeated(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]) ->
     """The rows of ``docs``, each as often as ``mix_domains`` says, without moving any text."""
     model, rate, _ = plan(docs, labelled, weights)
     rows = measured(docs.select("doc_id", "text", F.struct("*").alias("row")), "row")
+    # the filter on copies would be pushed down with all measures written out in it; it cannot pass a generator
+    once = F.explode(F.array(F.struct("tokens", *MEASURES)))
+    rows = rows.select("row", "doc_id", "text_mark", once.alias("m")).select("row", "doc_id", "text_mark", "m.*")
     chosen = with_copies(with_posteriors(rows, model, "row"), rate).where("copies > 0")
     return chosen.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
