@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import normalize as N
+from ..operators import profile
 from ..operators import split as S
 from ..operators.position import pinned
 from ..sources import readers, writers
@@ -37,6 +39,22 @@ class Preparation:
         self.history.append({"stage": "load", "columns": df.columns})
         return self
 
+    def update(self, df: DataFrame) -> Preparation:
+        """Another table in place of the loaded one; what was computed from the old one is forgotten."""
+        self.parameters = None
+        return self.use(df)
+
+    def clear(self) -> None:
+        self.data = self.result = self.parameters = None
+        self.history.clear()
+
+    def summary(self) -> dict:
+        """Rows, columns, types, completeness and duplicates of the loaded table."""
+        if self.data is None:
+            return {"status": "no_data_loaded"}
+        c, d = profile.completeness(self.data).first(), profile.duplicates(self.data).first()
+        return {"status": "loaded", "rows": d["rows"], "columns": self.data.columns, "types": dict(self.data.dtypes), "completeness": c["completeness"], "duplicates": d["duplicates"]}
+
     def use_parameters(self, means_path: str, stds_path: str) -> bool:
         self.parameters = N.NormalizationParameters.load(means_path, stds_path)
         return self.parameters is not None
@@ -80,7 +98,5 @@ def default_datasets(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, N.W
     """Three contiguous datasets with every numeric column scaled to [0, 1] by whole-table extremes."""
     fitted = N.WholeTableNormalizer("min-max", (0.0, 1.0), 1e-8).fit(df)
     out = S.three_way(df, order_by)
-    from pyspark.sql import functions as F
-
     scale = lambda c: (F.col(f"`{c}`") - F.lit(fitted.stats[c]["min"])) / (F.lit(fitted.stats[c]["max"]) - F.lit(fitted.stats[c]["min"]) + 1e-8)
     return N.project(out, {c: scale(c) for c in fitted.stats}), fitted

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import signal
 from ..operators import clean, normalize, profile, select, split, trim, windows
+from .config import Configuration
+from .pipeline import Preparation, default_datasets
 from .plugins import FeaturePlugin, PluginPipeline, PostprocessingPlugin
 
 RATIOS = {"d1": 0.4, "d2": 0.2, "d3": 0.2, "d4": 0.1, "d5": 0.05, "d6": 0.05}
@@ -95,6 +97,25 @@ def stratified_split(spark, d):
     return out.groupBy("event_type", "split").agg(F.count("*").alias("rows"))
 
 
+@query("""WITH n AS (SELECT count(*) AS n FROM part), r(k, i, ratio) AS (VALUES ('d1', 1, 0.41::DOUBLE), ('d2', 2, 0.19::DOUBLE), ('d3', 3, 0.19::DOUBLE), ('d4', 4, 0.11::DOUBLE), ('d5', 5, 0.05::DOUBLE), ('d6', 6, 0.05::DOUBLE)),
+c AS (SELECT k, CAST(trunc((n + 7) * ratio) AS BIGINT) AS base, row_number() OVER (ORDER BY ratio DESC, i) AS pref, n + 7 AS n FROM r, n)
+SELECT k AS split, base + CASE WHEN pref <= n - (SELECT sum(base) FROM c) THEN 1 ELSE 0 END AS rows FROM c""")
+def split_remainder(spark, d):
+    """Sizes of a table whose row count leaves a remainder."""
+    ratios = dict(zip(split.KEYS, (0.41, 0.19, 0.19, 0.11, 0.05, 0.05)))
+    sizes = split.split_sizes(t(spark, d, "part").count() + 7, ratios)
+    return spark.createDataFrame(list(sizes.items()), "split string, rows long")
+
+
+@query(f"""WITH RECURSIVE {SPLIT}, b AS (SELECT 1 AS i, 0::BIGINT AS start_row, least(trunc(n * 0.4::DOUBLE), n - 1)::BIGINT AS end_row FROM n
+UNION ALL SELECT b.i + 1, b.end_row + 1, least(b.end_row + 1 + trunc(n * r.ratio), n - 1)::BIGINT FROM b, n, r WHERE r.i = b.i + 1)
+SELECT r.k AS split, start_row, end_row, end_row - start_row + 1 AS rows FROM b JOIN r USING (i)""")
+def split_boundaries(spark, d):
+    """Boundaries by the older arithmetic with inclusive ends."""
+    rows = split.reference_boundaries(t(spark, d, "events").count(), RATIOS)
+    return spark.createDataFrame(rows, "split string, start_row long, end_row long, rows long")
+
+
 FIT = "f AS (SELECT avg(value) AS mean, stddev_samp(value) AS std FROM s WHERE split IN ('d1', 'd2'))"
 
 
@@ -151,6 +172,25 @@ def minmax_epsilon(spark, d):
     return rounded(normalize.WholeTableNormalizer("min-max", (0.0, 1.0), 1e-8).fit(df).transform(df), 6, *MEASURES)
 
 
+@query("""WITH k AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () AS n, min(o_totalprice) OVER () AS a, max(o_totalprice) OVER () AS b FROM orders)
+SELECT o_orderkey::VARCHAR AS id, round((o_totalprice - a) / (b - a + 1e-8::DOUBLE), 6) AS o_totalprice,
+CASE WHEN pos < trunc(n * 0.2::DOUBLE) THEN 'd1' WHEN pos < trunc(n * 0.2::DOUBLE) + trunc(n * 0.6::DOUBLE) THEN 'd2' ELSE 'd3' END AS split FROM k""")
+def default_three_datasets(spark, d):
+    """Three contiguous datasets, scaled by whole-table extremes."""
+    df = t(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("id"), "o_totalprice")
+    out, _ = default_datasets(df, ["o_orderkey"])
+    return rounded(out, 6, "o_totalprice").select("id", "o_totalprice", "split")
+
+
+@query(f"WITH {SPLIT}, f AS (SELECT avg(value) AS mean, stddev_samp(value) AS std FROM s WHERE split IN ('d1', 'd2')) SELECT event_id, split, round((value - mean) / std, 6) AS value FROM s, f")
+def full_preparation(spark, d):
+    """The whole pipeline over events: features, split, normalisation, postprocessing."""
+    c = Configuration().set("data_handling.timestamp_column", "ts").set("normalization.exclude", ["event_id", "user_id"])
+    df = t(spark, d, "events").select(*ORDER, "user_id", "value")
+    out = Preparation(spark, c, [QualityFlag()], [ThreeSigma()]).use(df).process(ORDER)
+    return rounded(out, 6, "value").select("event_id", "split", "value")
+
+
 @query(scaled("({c} - mean_{c}) / std_{c}"))
 def zscore_all_rows(spark, d):
     df = t(spark, d, "lineitem").select(*MEASURES)
@@ -199,6 +239,22 @@ def ema_unbias_nulls(spark, d):
     return rounded(windows.exponential_unbias(with_nulls(spark, d), ["value"], ORDER), 6, "value").select("event_id", "value")
 
 
+@query("""WITH RECURSIVE p AS (SELECT event_id, user_id, value AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+r AS (SELECT user_id, i, event_id, x AS num, 1.0::DOUBLE AS den FROM p WHERE i = 1
+UNION ALL SELECT p.user_id, p.i, p.event_id, r.num * 0.7::DOUBLE + p.x, r.den * 0.7::DOUBLE + 1 FROM r JOIN p ON p.user_id = r.user_id AND p.i = r.i + 1)
+SELECT event_id, round(num / den, 6) AS value_ema FROM r""")
+def ema_by_user(spark, d):
+    df = t(spark, d, "events").select(*ORDER, "user_id", "value")
+    return rounded(windows.exponential_average(df, ["value"], ORDER, 0.3, ["user_id"]), 6, "value_ema").select("event_id", "value_ema")
+
+
+@query("""WITH m AS (SELECT avg(value) AS m FROM events), p AS (SELECT value - m AS x, row_number() OVER (ORDER BY ts, event_id) AS i FROM events, m),
+k AS (SELECT unnest(range(1, 6))::INTEGER AS lag) SELECT lag, round(sum(a.x * b.x) / (SELECT sum(x * x) FROM p), 6) AS acf FROM k, p a JOIN p b ON true WHERE b.i = a.i - lag GROUP BY lag""")
+def acf_standard(spark, d):
+    rho = select.acf(t(spark, d, "events"), "value", ORDER, 5)
+    return rounded(spark.createDataFrame([(i + 1, float(r)) for i, r in enumerate(rho)], "lag int, acf double"), 6, "acf")
+
+
 @query("SELECT event_id, round(value - lag(value) OVER (ORDER BY ts, event_id), 6) AS diff FROM events")
 def returns_diff(spark, d):
     return rounded(windows.first_difference(t(spark, d, "events").select(*ORDER, "value"), "value", "diff", ORDER), 6, "diff").select("event_id", "diff")
