@@ -1,8 +1,8 @@
 """Operator 9: line deduplication by winnowing over line hashes, in DataFrame functions only.
 
-A window of ``run`` consecutive lines is one comparison unit.  The smallest line hash
-of each window is a fingerprint, so two equal runs of that many lines are certain to
-share one.  Fingerprints carry the lines around them: those that occur once are dropped
+A window of ``run`` consecutive lines is one comparison unit, and so is a single line
+as long as a passage.  The smallest line hash of each window is a fingerprint, so two
+equal runs of that many lines are certain to share one.  Fingerprints carry the lines around them: those that occur once are dropped
 by a join on counts, the positions of the others are extended both ways to every
 window that chose them, and windows that also occur earlier are deleted.  Groups are
 reduced to a first position by partial aggregation, so no group meets in one task and
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .common import fresh, stash, table
 
 RUN = 3
+PASSAGE = 250  # characters, some forty words
 NO_ID = -(2**63)
 
 
@@ -26,8 +27,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def windows(docs: DataFrame, run: int) -> DataFrame:
-    """``key, mark, at, one, two, print, print2``: every window of ``run`` lines that are not blank.
+def windows(docs: DataFrame, run: int, passage: int) -> DataFrame:
+    """``key, mark, at, one, two, print, print2``: every window of ``run`` lines that are not blank, and long lines.
 
     ``at`` are the places of its lines in the document, ``one`` and ``two`` its 128-bit
     hash, ``print`` and ``print2`` that of its fingerprint line.
@@ -35,10 +36,10 @@ def windows(docs: DataFrame, run: int) -> DataFrame:
     numbered = F.transform(
         F.split("text", "\n", -1),
         lambda x, i: F.struct(
-            F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b"), i.alias("i"), x.rlike(r"\S").alias("full")
+            F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b"), i.alias("i"), x.rlike(r"\S").alias("full"), (F.length(x) >= passage).alias("long")
         ),
     )
-    lines = docs.select("key", "mark", F.filter(numbered, lambda x: x["full"]).alias("l")).where(F.size("l") >= run)
+    lines = docs.select("key", "mark", F.filter(numbered, lambda x: x["full"]).alias("l"))
 
     def window(j: Column) -> Column:
         w = F.slice("l", j, run)
@@ -52,13 +53,18 @@ def windows(docs: DataFrame, run: int) -> DataFrame:
             least["b"].alias("print2"),
         )
 
-    starts = F.sequence(F.lit(1), F.size("l") - (run - 1))
-    return lines.select("key", "mark", F.explode(F.transform(starts, window)).alias("w")).select("key", "mark", "w.*")
+    def single(x: Column) -> Column:
+        one, two = F.xxhash64(x["a"]), F.xxhash64(F.lit(7), x["b"])
+        return F.struct(F.array(x["i"]).alias("at"), one.alias("one"), two.alias("two"), x["a"].alias("print"), x["b"].alias("print2"))
 
+    starts = F.when(F.size("l") >= run, F.sequence(F.lit(1), F.size("l") - (run - 1))).otherwise(F.array().cast("array<int>"))
+    every = F.concat(F.transform(starts, window), F.transform(F.filter("l", lambda x: x["long"] & x["full"]), single))
+    return lines.select("key", "mark", F.explode(every).alias("w")).select("key", "mark", "w.*")
 
-def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+
+def repeated_lines(docs: DataFrame, run: int = RUN, passage: int = PASSAGE) -> DataFrame:
     """``key, mark, gone``: for each document with deletions, the zero-based places of the lines to delete."""
-    every = stash(windows(docs, run), "line-windows")
+    every = stash(windows(docs, run, passage), "line-windows")
     place = F.struct("key", "mark", F.element_at("at", 1).alias("start"))
     prints = (
         every.groupBy("print", "print2")
@@ -77,20 +83,20 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     return later.select("key", "mark", F.explode("at").alias("i")).groupBy("key", "mark").agg(F.collect_set("i").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def dedup_lines(docs: DataFrame, run: int = RUN, passage: int = PASSAGE) -> DataFrame:
     """``docs`` with ``text`` cleaned, and the columns ``n_lines`` and ``n_removed``.
 
     A line goes if it lies in a run of ``run`` or more consecutive lines (blank lines
     are skipped over and kept) that all occur, in that order, at an earlier place:
-    in a document with a smaller id, or earlier in the same one.  Null texts count as
-    empty; documents of fewer than ``run`` lines keep all.  Null ids come first; rows
+    in a document with a smaller id, or earlier in the same one; or if it has ``passage``
+    or more characters and occurs earlier.  Null texts count as empty.  Null ids come first; rows
     with the same id are ordered by a hash of their text, and rows equal in both are
     one document with the same result.  Columns of the input are kept as they are;
     an input that has ``n_lines`` or ``n_removed`` gets them replaced.
     """
     own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     key, mark, gone = (fresh(docs, c) for c in ("_key", "_mark", "_gone"))
-    found = repeated_lines(keyed(docs), run).withColumnsRenamed({"key": key, "mark": mark, "gone": gone})
+    found = repeated_lines(keyed(docs), run, passage).withColumnsRenamed({"key": key, "mark": mark, "gone": gone})
     text = F.coalesce("text", F.lit(""))
     joined = docs.withColumns({key: F.coalesce("doc_id", F.lit(NO_ID)), mark: F.xxhash64(text)}).join(found, [key, mark], "left")
     lines = F.split(text, "\n", -1)
@@ -124,7 +130,8 @@ w AS (SELECT doc_id, n, line, i,
   lead(line, 1) OVER d AS line2, lead(line, 2) OVER d AS line3, lead(i, 1) OVER d AS i2, lead(i, 2) OVER d AS i3
   FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY n)),
 g AS (SELECT *, row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, n) AS seen FROM w WHERE line3 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, unnest([i, i2, i3]) AS i FROM g WHERE seen > 1),
+h AS (SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, n) AS seen FROM f WHERE length(line) >= 250),
+gone AS (SELECT doc_id, unnest([i, i2, i3]) AS i FROM g WHERE seen > 1 UNION SELECT doc_id, i FROM h WHERE seen > 1),
 k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text FROM l LEFT JOIN gone USING (doc_id, i)
   WHERE gone.i IS NULL GROUP BY l.doc_id),
 c AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)

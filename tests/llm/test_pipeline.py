@@ -20,6 +20,11 @@ def test_pipeline(spark):
             if w in seen:
                 gone |= set(full[k : k + 3])
             seen.add(w)
+        for i in full:
+            if len(every[i]) >= 250:
+                if every[i] in seen:
+                    gone.add(i)
+                seen.add(every[i])
         text = "\n".join(x for i, x in enumerate(every) if i not in gone)
         if not gone or text.strip():
             cleaned[r.doc_id] = text
