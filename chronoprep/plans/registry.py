@@ -280,15 +280,15 @@ def gap_detect(spark, d):
 LERP = """q AS (SELECT *, last_value(CASE WHEN x IS NOT NULL THEN i END IGNORE NULLS) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a,
   first_value(CASE WHEN x IS NOT NULL THEN i END IGNORE NULLS) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS b FROM p),
 v AS (SELECT q.*, u.x AS xa, w.x AS xb FROM q LEFT JOIN p u ON u.i = q.a LEFT JOIN p w ON w.i = q.b)"""
-FILLED = "round(CASE WHEN x IS NOT NULL THEN x WHEN a IS NULL THEN NULL WHEN b IS NULL THEN xa ELSE xa + (xb - xa) * (i - a) / (b - a) END, 6) AS value"
+FILLED = "round(CASE WHEN x IS NOT NULL THEN x WHEN a IS NULL THEN NULL WHEN b IS NULL THEN xa ELSE xa + (xb - xa) * ((i - a)::DOUBLE / (b - a)) END, {digits}) AS value"
 
 
-@query(f"WITH {MINUTES}, p AS (SELECT ts, h.value AS x, row_number() OVER (ORDER BY ts) AS i FROM g FULL JOIN h USING (ts)), {LERP} SELECT ts, {FILLED} FROM v")
+@query(f"WITH {MINUTES}, p AS (SELECT ts, h.value AS x, row_number() OVER (ORDER BY ts) AS i FROM g FULL JOIN h USING (ts)), {LERP} SELECT ts, {FILLED.format(digits=9)} FROM v")
 def gap_fill_interpolate(spark, d):
-    return rounded(clean.fill_gaps(by_minute(spark, d), "ts", 1), 6, "value")
+    return rounded(clean.fill_gaps(by_minute(spark, d), "ts", 1), 9, "value")
 
 
-@query(f"WITH p AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS x, row_number() OVER (ORDER BY ts, event_id) AS i FROM events), {LERP} SELECT event_id, {FILLED} FROM v")
+@query(f"WITH p AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS x, row_number() OVER (ORDER BY ts, event_id) AS i FROM events), {LERP} SELECT event_id, {FILLED.format(digits=6)} FROM v")
 def interpolate_linear(spark, d):
     return rounded(windows.interpolate(with_nulls(spark, d), ["value"], ORDER), 6, "value").select("event_id", "value")
 
