@@ -291,7 +291,7 @@ class HNSW:
 
 
 def hnsw_search(
-    df: DataFrame, is_query, k: int = 20, m: int = 16, ef_build: int = 64, ef_search: int = 128, shard_rows: int = 32_768
+    df: DataFrame, is_query, k: int = 20, m: int = 16, ef_build: int = 64, ef_search: int = 256, shard_rows: int = 32_768
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the k rows found with the largest inner product.
 
