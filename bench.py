@@ -11,7 +11,7 @@ from chronoprep.plans import registry
 
 HEADLINE = [
     "zscore_apply", "temporal_split_six", "ema_unbias", "ma_unbias", "interpolate_linear", "gap_fill_interpolate", "minmax_range",
-    "outlier_delete_seq", "profile_describe", "profile_duplicates", "autocorr_lags", "snr_stats", "mi_select",
+    "outlier_delete_seq", "profile_describe", "profile_duplicates", "autocorr_lags", "snr_stats", "mi_select", "full_preparation",
 ]
 
 

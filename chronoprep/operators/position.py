@@ -42,7 +42,7 @@ def over_series(
     before: int = 0,
     after: int = 0,
     partition_by: list[str] | None = None,
-    block: int = 100_000,
+    block: int = 25_000,
 ) -> DataFrame:
     """Add window columns to a series.
 

@@ -38,7 +38,7 @@ def exponential_average(df: DataFrame, columns: list[str], order_by: list[str],
         block, own = F.lit(0), None
     else:
         placed = with_position(df, order_by)
-        size = stretch * max(reach, 100_000 // stretch)
+        size = stretch * max(reach, 25_000 // stretch)
         block = F.floor(F.col(POSITION) / size).cast("long")
         halo = F.filter(F.array(block, F.when(F.col(POSITION) % size >= size - reach * stretch, block + 1)), lambda b: b.isNotNull())
         placed = placed.withColumn("_own", block)
