@@ -132,10 +132,7 @@ class WordBPE:
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if self.specials is not None and "<|" in text or self.specials is not None and self.specials.search(text):
-            parts = self.specials.split(text)
-        else:
-            parts = [text]
+        parts = self.specials.split(text) if any(s in text for s in self.special) else [text]
         out: list[int] = []
         memo = self.memo
         for part in parts:
