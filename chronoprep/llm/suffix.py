@@ -289,6 +289,23 @@ class RunIndex:
         ends = np.minimum(np.r_[self.run_start[1:], self.n][own], i)
         return int((ends - self.run_start[own]).sum())
 
+    def locate(self, i: np.ndarray) -> np.ndarray:
+        """Text positions of the suffixes at ranks i: LF steps to the next sampled run end, counted."""
+        i = np.array(i, np.int64)
+        out = np.full(len(i), -1)
+        steps, left = 0, np.arange(len(i))
+        while len(left):
+            r = np.searchsorted(self.run_start, i[left], "right") - 1
+            first = i[left] == self.run_start[r]
+            last = i[left] == np.r_[self.run_start[1:], self.n][r] - 1
+            at = np.where(first, self.sample_first[r], self.sample_last[r])
+            hit = first | last
+            out[left[hit]] = (at[hit] + steps) % self.n
+            left = left[~hit]
+            i[left], _ = self.lf(i[left])
+            steps += 1
+        return out
+
     def earliest_of(self, i: np.ndarray) -> np.ndarray:
         """First text position of the interval that each rank lies in, -1 for a rank alone."""
         if not len(self.low):

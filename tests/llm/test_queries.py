@@ -58,6 +58,11 @@ def test_suffix_index():
                 seen.add(x[o : o + 100])
         w, o = suffix.mark_repeats(given)
         assert sorted(zip(w.tolist(), o.tolist())) == want
+        text = np.concatenate([np.r_[np.frombuffer(x, np.uint8).astype(int) + 1, 0] for x in given])
+        index, piece = suffix.RunIndex(text), text[3:15]
+        low, high = index.count(piece)
+        found = sorted(index.locate(np.arange(low, high)).tolist())
+        assert found == [i for i in range(len(text) - 11) if (text[i : i + 12] == piece).all()]
 
 
 def test_near_duplicates_brute(spark, texts):
