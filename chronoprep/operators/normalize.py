@@ -152,6 +152,11 @@ class WholeTableNormalizer:
 
         return df.select(*[formula(c).alias(c) for c in self.stats if c in df.columns])
 
+    def debug_info(self, pips: float = 1.0) -> dict[str, float]:
+        """What some pips are worth in each column's normalised units; constant columns are left out."""
+        spread = lambda s: s["max"] - s["min"] if self.method == "min-max" else s["std"]
+        return {c: mae_per_pip(s, self.method, pips, self.range) for c, s in self.stats.items() if spread(s)}
+
     def save(self, path: str) -> None:
         keys = {k for s in self.stats.values() for k in s}
         with open(path, "w") as f:

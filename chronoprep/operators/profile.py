@@ -80,6 +80,7 @@ class ValidationRules:
     max_missing_percent: float = 50.0
     max_duplicate_percent: float = 25.0
     required_numeric_columns: int = 1
+    max_file_megabytes: float = 1000.0
     allowed_types: tuple[str, ...] = ("int", "bigint", "double", "float", "string", "timestamp", "timestamp_ntz", "date", "boolean")
     unknown: list[str] = field(default_factory=list)
 
@@ -93,8 +94,8 @@ class ValidationRules:
         return self
 
 
-def validation_report(df: DataFrame, rules: ValidationRules | None = None) -> DataFrame:
-    """``rule, ok`` for each rule."""
+def validation_report(df: DataFrame, rules: ValidationRules | None = None, file_megabytes: float | None = None) -> DataFrame:
+    """``rule, ok`` for each rule; the size of the file is judged where it is given."""
     rules = rules or ValidationRules()
     c, d = completeness(df).first(), duplicates(df).first()
     rows = [
@@ -105,6 +106,8 @@ def validation_report(df: DataFrame, rules: ValidationRules | None = None) -> Da
         ("numeric", len(numeric_columns(df)) >= rules.required_numeric_columns),
         ("duplicates", d["percent"] <= rules.max_duplicate_percent),
     ]
+    if file_megabytes is not None:
+        rows.append(("file_size", file_megabytes <= rules.max_file_megabytes))
     return df.sparkSession.createDataFrame(rows, "rule string, ok boolean")
 
 

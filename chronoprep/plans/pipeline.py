@@ -100,3 +100,24 @@ def default_datasets(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, N.W
     out = S.three_way(df, order_by)
     scale = lambda c: (F.col(f"`{c}`") - F.lit(fitted.stats[c]["min"])) / (F.lit(fitted.stats[c]["max"]) - F.lit(fitted.stats[c]["min"]) + 1e-8)
     return N.project(out, {c: scale(c) for c in fitted.stats}), fitted
+
+
+def export_default(df: DataFrame, order_by: list[str], folder: str, base_columns: tuple[str, ...] = ("DATE_TIME", "OPEN", "LOW", "HIGH", "CLOSE")) -> DataFrame:
+    """Base and normalised datasets d1, d2, d3 as CSV, the parameters as ``debug_out.json``.
+
+    Returns ``Filename, Rows, Columns`` for the six datasets.
+    """
+    from ..operators.trim import ordered_columns
+
+    base = S.three_way(ordered_columns(df, base_columns), order_by)
+    scaled, fitted = default_datasets(df, order_by)
+    os.makedirs(folder, exist_ok=True)
+    summary = None
+    for name, part in (("base", base), ("normalized", scaled)):
+        part = pinned(part)
+        part.write.mode("overwrite").partitionBy("split").option("header", True).csv(os.path.join(folder, name))
+        rows = part.groupBy("split").agg(F.count("*").alias("Rows"))
+        rows = rows.select(F.concat(F.lit(f"{name}_"), "split").alias("Filename"), "Rows", F.lit(len(part.columns) - 1).alias("Columns"))
+        summary = rows if summary is None else summary.unionByName(rows)
+    fitted.save(os.path.join(folder, "debug_out.json"))
+    return summary

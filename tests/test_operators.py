@@ -13,7 +13,7 @@ from chronoprep.functions import scalars, signal
 from chronoprep.operators import clean, normalize, profile, select, split, trim, windows
 from chronoprep.operators.position import POSITION, over_series, with_position
 from chronoprep.plans.config import Configuration
-from chronoprep.plans.pipeline import Preparation, default_datasets
+from chronoprep.plans.pipeline import Preparation, default_datasets, export_default
 from chronoprep.plans.plugins import FeaturePlugin, Plugin, PluginPipeline, Registry
 from chronoprep.sources import readers, writers
 from chronoprep.streaming.normalize import normalized_stream
@@ -320,6 +320,20 @@ def test_pipeline_and_reuse(spark, prices, tmp_path):
     assert three.agg(F.max("close")).first()[0] <= 1.0 and set(fitted.stats) == {"open", "close", "volume"}
 
 
+def test_default_export(spark, tmp_path):
+    df = spark.createDataFrame([(i, float(i), float(i), float(i), float(i)) for i in range(50)], "DATE_TIME long, OPEN double, LOW double, HIGH double, CLOSE double")
+    rows = {r.Filename: (r.Rows, r.Columns) for r in export_default(df, ["DATE_TIME"], str(tmp_path / "o")).collect()}
+    assert rows["base_d1"] == (10, 5) and rows["normalized_d2"] == (30, 5) and len(rows) == 6
+    assert (tmp_path / "o" / "debug_out.json").exists()
+    n = normalize.WholeTableNormalizer("z-score").fit(df)
+    assert set(n.debug_info()) == set(df.columns)
+    job = Preparation(spark).use(df)
+    assert job.summary()["rows"] == 50
+    job.update(df.limit(5))
+    job.clear()
+    assert job.summary() == {"status": "no_data_loaded"}
+
+
 def test_command_line(spark, prices, tmp_path):
     prices.coalesce(1).write.parquet(str(tmp_path / "in.parquet"))
     assert cli.main([str(tmp_path / "in.parquet"), "--output", str(tmp_path / "out"), "--format", "csv"]) == 0
