@@ -121,7 +121,7 @@ def metadata(df: DataFrame, ratios: dict[str, float], boundary: str | None = Non
     return counts.withColumn("actual_ratio", F.col("sample_count") / F.lit(total)).withColumn("expected_ratio", expected)
 
 
-def reference_boundaries(n: int, ratios: dict[str, float]) -> list[tuple[str, int, int, int]]:
+def inclusive_boundaries(n: int, ratios: dict[str, float]) -> list[tuple[str, int, int, int]]:
     """Boundaries by the older arithmetic, whose inclusive ends drift by one row a dataset: ``(key, start, end, count)``."""
     out, at = [], 0
     for k, r in ratios.items():

@@ -112,7 +112,7 @@ UNION ALL SELECT b.i + 1, b.end_row + 1, least(b.end_row + 1 + trunc(n * r.ratio
 SELECT r.k AS split, start_row, end_row, end_row - start_row + 1 AS rows FROM b JOIN r USING (i)""")
 def split_boundaries(spark, d):
     """Boundaries by the older arithmetic with inclusive ends."""
-    rows = split.reference_boundaries(t(spark, d, "events").count(), RATIOS)
+    rows = split.inclusive_boundaries(t(spark, d, "events").count(), RATIOS)
     return spark.createDataFrame(rows, "split string, start_row long, end_row long, rows long")
 
 

@@ -75,7 +75,7 @@ def test_split_errors(spark, prices):
     assert split.validate(prices.limit(30), temporal())
     assert split.validate(prices.withColumn("timestamp", F.when(F.col("volume") > 500, F.col("timestamp"))), temporal())
     assert not split.validate(prices, temporal())
-    assert split.reference_boundaries(100, RATIOS)[1][1] == 41
+    assert split.inclusive_boundaries(100, RATIOS)[1][1] == 41
 
 
 def test_normalization(prices, tmp_path):
