@@ -8,8 +8,9 @@ points below w; the smallest point per component is its signature, whose compone
 agree with probability equal to the weighted Jaccard similarity.
 
 Exact copies are folded to one text first.  In each band a text is compared with its
-bucket's leaders, never with all of its bucket: those that match a leader are settled,
-the others form the next, smaller bucket with leaders of its own, until none is left.
+bucket's leaders, not with all of its bucket: those that match a leader are settled,
+the others are held against the settled ones that an exact bound lets them reach, and
+form the next, smaller bucket with leaders of its own, until none is left.
 Classes are the connected components of the verified links.
 
 Python computes shingles and signatures (loops over words and random processes, in
@@ -129,14 +130,18 @@ def bag_min_hash(doc: np.ndarray, item: np.ndarray, weight: np.ndarray, n_docs:
 
 def overlap(a: str, b: str, memo: dict[str, int]) -> float:
     """Weighted Jaccard similarity of two texts' shingle multisets."""
+    both, one, two = shared(a, b, memo)
+    return both / (one + two - both) if one + two else 1.0
+
+
+def shared(a: str, b: str, memo: dict[str, int]) -> tuple[int, int, int]:
+    """The mass that two texts' shingle multisets share, and the mass of each."""
     doc, item, weight = shingles([a, b], memo)
-    if not len(doc):
-        return 1.0
+    one, two = int(weight[doc == 0].sum()), int(weight[doc == 1].sum())
     order = np.argsort(item, kind="stable")
     item, weight = item[order], weight[order]
     same = np.flatnonzero(item[1:] == item[:-1])
-    both = np.minimum(weight[same], weight[same + 1]).sum()
-    return both / (weight.sum() - both)
+    return int(np.minimum(weight[same], weight[same + 1]).sum()), one, two
 
 
 def bands(texts: DataFrame) -> DataFrame:
@@ -166,7 +171,7 @@ def bands(texts: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``leader, rep`` pairs that reach the threshold, by exact multiset overlap."""
+    """``leader, rep`` pairs with the mass ``both`` that they share and their own, by exact multiset overlap."""
     mine = pairs.join(texts, "rep")
     both = mine.join(texts.select(F.col("rep").alias("leader"), F.col("text").alias("leader_text")), "leader")
 
@@ -174,12 +179,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         memo: dict[str, int] = {}
         for batch in batches:
             for part in slices(batch, "text", SLICE_CHARS):
-                s = [overlap(a, b, memo) for a, b in zip(part.column("text").to_pylist(), part.column("leader_text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column("leader"), part.column("rep"), pa.array(s, pa.float64())], ["leader", "rep", "similarity"])
+                s = [shared(a, b, memo) for a, b in zip(part.column("leader_text").to_pylist(), part.column("text").to_pylist())]
+                mass = [pa.array([x[i] for x in s], pa.int64()) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([part.column("leader"), part.column("rep"), *mass], ["leader", "rep", "both", "leader_mass", "rep_mass"])
+
+    return both.select("leader", "rep", "text", "leader_text").mapInArrow(run, "leader long, rep long, both long, leader_mass long, rep_mass long")
 
-    return both.select("leader", "rep", "text", "leader_text").mapInArrow(run, "leader long, rep long, similarity double").where(
-        F.col("similarity") >= THRESHOLD
-    )
+
+def near(scored: DataFrame) -> DataFrame:
+    """The ``leader, rep`` links among verified pairs."""
+    return scored.where(F.col("both") / (F.col("leader_mass") + F.col("rep_mass") - F.col("both")) >= THRESHOLD).select("leader", "rep")
 
 
 def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
@@ -188,7 +197,9 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     The leader of a bucket is its text that shares the most buckets with others, most
     often the original that the others were made from.  After each round the leaders
     and the members of their classes leave the bucket, also those that belong to them by
-    links found elsewhere; the rest go on.  Between rounds, texts that an exact bound shows
+    links found elsewhere; the rest go on, once they are compared with those members too
+    wherever an exact bound leaves room for a link.  Texts that such a link settles
+    stay for the next round, so none leaves before the rest has met it.  Between rounds, texts that an exact bound shows
     to have no partner among the rest leave too.  After the first round a growing share
     of the rest, chosen by a hash, leads, so stubborn buckets end after a few rounds; two
     leaders are compared once.
@@ -224,21 +235,73 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
         if done is not None:
             pairs = pairs.join(done, ["leader", "rep"], "left_anti")
         pairs = stash(pairs, "neardup-pairs")
-        good = stash(verified(pairs, texts.select("rep", "text")).select("leader", "rep"), "neardup-links")
-        found = good if found is None else found.unionByName(good)
-        done = pairs if done is None else done.unionByName(pairs)
+        scored = stash(verified(pairs, texts.select("rep", "text")), "neardup-scored")
+        found = near(scored) if found is None else found.unionByName(near(scored))
+        done = scored if done is None else done.unionByName(scored)
         root = components(found)
         of = lambda c: root.select(F.col("rep").alias(c), F.col("root").alias(f"{c}_now"))
         classes = stash(
             lead.join(of("leader"), "leader", "left").select("band", F.coalesce("leader_now", "leader").alias("rep_now")).distinct(), "neardup-led"
         )
-        left = now.select("rep", "band", "degree").join(of("rep"), "rep", "left").withColumn("rep_now", F.coalesce("rep_now", "rep"))
-        left = stash(left.join(classes, ["band", "rep_now"], "left_anti").drop("rep_now"), "neardup-left")
-        left = stash(possible(left, texts), "neardup-left")
+        after = now.select("rep", "band", "degree").join(of("rep"), "rep", "left").withColumn("rep_now", F.coalesce("rep_now", "rep"))
+        after = after.join(classes.withColumn("settled", F.lit(True)), ["band", "rep_now"], "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
+        after = stash(after, "neardup-after")
+        pairs = crossing(after, lead, done, texts)
+        if pairs is not None:
+            scored = stash(verified(pairs, texts.select("rep", "text")), "neardup-scored")
+            found, done = found.unionByName(near(scored)), done.unionByName(scored)
+            if not near(scored).isEmpty():
+                root = components(found)
+        left = stash(possible(after.where("not settled").select("rep", "band", "degree"), texts), "neardup-left")
         share = next(shares, 1)
     return found if found is not None else spark.createDataFrame([], "leader long, rep long")
 
 
+def crossing(after: DataFrame, lead: DataFrame, done: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """``leader, rep`` pairs of a settled and an unsettled text of a bucket that may reach the threshold, or None.
+
+    Let two texts of masses x and y share a and b with their bucket's leader.  What they
+    share lies in the leader or outside it, so it is at most
+    min(a, b) + min(x - a, y - b); nor is it more than either's mass of shingles that
+    occur in any other of the texts in question.  From these the similarity is bounded.
+    """
+    pivot = lead.groupBy("band").agg(F.min("leader").alias("pivot"))
+    member = after.join(lead.select("band", F.col("leader").alias("rep")), ["band", "rep"], "left_anti")
+    sides = member.groupBy("band").agg(F.min("settled").alias("low"), F.max("settled").alias("high")).where("low <> high").select("band")
+    member = member.join(stash(sides, "neardup-sides"), "band").join(pivot, "band").withColumns({"one": F.least("rep", "pivot"), "two": F.greatest("rep", "pivot")})
+    member = member.join(done.withColumnsRenamed({"leader": "one", "rep": "two"}), ["one", "two"], "left")
+    mass = F.when(F.col("rep") == F.col("one"), F.col("leader_mass")).otherwise(F.col("rep_mass"))
+    # without a comparison with the leader nothing is known, and all may be shared
+    member = stash(member.select("band", "rep", "rep_now", "settled", mass.alias("mass"), "both", (mass - F.col("both")).alias("out")), "neardup-crossing")
+    whole = F.lit(2**62)
+
+    def reach(mine: DataFrame, others: DataFrame) -> DataFrame:
+        far = stash(others.groupBy("band").agg(F.max(F.coalesce("out", whole)).alias("far")), "neardup-reach")
+        fits = F.col("both") + F.least("out", "far") >= THRESHOLD * F.col("mass") - 1e-6
+        return stash(mine.join(far, "band").where(F.coalesce(fits, F.lit(True))).drop("far"), "neardup-reaching")
+
+    open_ = reach(member.where("not settled"), member.where("settled"))
+    if open_.isEmpty():
+        return None
+    shut = reach(member.where("settled"), open_)
+    own = stash(masses(open_.select("rep").union(shut.select("rep")).distinct(), texts), "neardup-mass")
+    known = own.withColumn("s", F.col("total") - F.col("u"))
+    open_, shut = open_.join(known, "rep"), stash(shut.join(known, "rep"), "neardup-shut")
+
+    def hopeful(mine: DataFrame, others: DataFrame) -> DataFrame:
+        least = stash(others.groupBy("band").agg(F.min("u").alias("v")), "neardup-least")
+        return stash(mine.join(least, "band").where(F.col("s") >= THRESHOLD * (F.col("total") + F.col("v")) - 1e-6).drop("v"), "neardup-hopeful")
+
+    open_ = hopeful(open_, shut)
+    shut = hopeful(shut, open_).select("band", *[F.col(c).alias(f"{c}_x") for c in ("rep", "rep_now", "both", "out", "total", "s")])
+    by_leader = F.least("both", "both_x") + F.least("out", "out_x")
+    inside = F.when(F.col("both").isNull() | F.col("both_x").isNull(), whole).otherwise(by_leader)
+    most = F.least("s", "s_x", inside)
+    fits = (F.col("rep_now") != F.col("rep_now_x")) & (most >= THRESHOLD * (F.col("total") + F.col("total_x") - most) - 1e-6)
+    pairs = open_.join(shut, "band").where(fits).select(F.least("rep", "rep_x").alias("leader"), F.greatest("rep", "rep_x").alias("rep")).distinct()
+    return stash(pairs.join(done, ["leader", "rep"], "left_anti"), "neardup-pairs")
+
+
 def possible(left: DataFrame, texts: DataFrame) -> DataFrame:
     """The ``rep, band, degree`` rows whose text may still reach the threshold with another one of them.
 
@@ -247,7 +310,14 @@ def possible(left: DataFrame, texts: DataFrame) -> DataFrame:
     the union holds s + u and the partner's own rest, so the similarity is at most
     s / (s + u + v).
     """
-    who = left.select("rep").distinct()
+    mass = stash(masses(left.select("rep").distinct(), texts), "neardup-mass")
+    known = stash(left.join(mass, "rep"), "neardup-bound")
+    least = stash(known.groupBy("band").agg(F.min("u").alias("v")), "neardup-least")
+    return known.join(least, "band").where((F.col("total") - F.col("u")) >= THRESHOLD * (F.col("total") + F.col("v")) - 1e-6).select("rep", "band", "degree")
+
+
+def masses(who: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rep, total, u`` of the texts ``who``: the mass of all shingles, and of those that occur in no other of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
@@ -261,10 +331,7 @@ def possible(left: DataFrame, texts: DataFrame) -> DataFrame:
     alone = rows.groupBy("item").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"), F.max("weight").alias("weight")).where("rep = last")
     mass = rows.groupBy("rep").agg(F.sum("weight").alias("total"))
     own = alone.groupBy("rep").agg(F.sum("weight").alias("u"))
-    mass = stash(mass.join(own, "rep", "left").select("rep", "total", F.coalesce("u", F.lit(0)).alias("u")), "neardup-mass")
-    known = stash(left.join(mass, "rep"), "neardup-bound")
-    least = stash(known.groupBy("band").agg(F.min("u").alias("v")), "neardup-least")
-    return known.join(least, "band").where((F.col("total") - F.col("u")) >= THRESHOLD * (F.col("total") + F.col("v")) - 1e-6).select("rep", "band", "degree")
+    return mass.join(own, "rep", "left").select("rep", "total", F.coalesce("u", F.lit(0)).alias("u"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -295,8 +362,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links of weighted Jaccard similarity of at least 0.8 between five-word shingle
     multisets.  A text of fewer than five words is one shingle of all its words; null and
     empty texts have no shingle and are each a class of their own, as are rows with a
-    null id, which get null classes.  ``n_links`` counts the verified links of the text
-    to other texts.  Rows that repeat an id with different texts are one document that
+    null id, which get null classes.  ``n_links`` counts the links of the text to other
+    texts that were verified on the way to the classes, not all that exist.  Rows that repeat an id with different texts are one document that
     meets others by any of its texts and is verified by the first of them in text order.
     """
     docs = small_batches(docs)

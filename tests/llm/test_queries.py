@@ -89,6 +89,20 @@ def test_near_duplicates_brute(spark, texts):
     assert got == {i: find(i) for i in texts}
 
 
+def test_near_duplicates_reach_settled_members(spark):
+    """In each group a text is similar to one member only, never to the copies that lead the buckets."""
+    rows = []
+    for g in range(16):
+        base = [f"g{g}w{i}" for i in range(204)]
+        member = base + [f"g{g}x{i}" for i in range(6)]
+        rows += [(100 * g + j, " ".join(base + [f"g{g}c{j}"])) for j in range(8)]
+        rows += [(100 * g + 8, " ".join(member)), (100 * g + 9, " ".join(member + [f"g{g}y{i}" for i in range(48)]))]
+        assert neardup.overlap(rows[-1][1], rows[-2][1], {}) >= 0.8 > max(neardup.overlap(rows[-1][1], t, {}) for _, t in rows[-10:-2])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == {i: i // 100 * 100 for i, _ in rows}
+
+
 def test_bag_min_hash_is_unbiased():
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(500)]
