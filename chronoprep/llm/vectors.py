@@ -326,7 +326,8 @@ class VAFile:
     """Cells of at most 16 values a component in one byte; exact rows are read in the order of their bounds."""
 
     def __init__(self, matrix: np.ndarray, cells: int = 16):
-        self.exact = matrix.astype(np.int64)
+        self.exact = matrix  # whole numbers, which doubles hold exactly
+        self.most = np.abs(matrix).max(initial=0.0)
         edges = np.quantile(self.exact, np.linspace(0, 1, cells + 1)[1:-1], axis=0)  # inner edges of each component
         self.code = np.stack([np.searchsorted(edges[:, j], self.exact[:, j]) for j in range(matrix.shape[1])], 1).astype(np.uint8)
         low, high = [], []
@@ -343,23 +344,35 @@ class VAFile:
         up, down = np.maximum(queries, 0).astype(float), np.minimum(queries, 0).astype(float)
         out = np.empty((len(queries), len(self.code)))
         dims = np.arange(self.code.shape[1])
+        # a sum of rounded products is off by less than this share of the sum of their sizes
+        slack = 0.0 if self.fits(queries) else (len(dims) + 4) * 2.0**-51
         for a in range(0, len(self.code), block):
             c = self.code[a : a + block]
-            out[:, a : a + block] = up @ self.high[dims, c].T + down @ self.low[dims, c].T
+            high, low = self.high[dims, c].T, self.low[dims, c].T
+            out[:, a : a + block] = up @ high + down @ low
+            if slack:
+                out[:, a : a + block] += slack * (up @ np.abs(high) - down @ np.abs(low))
         return out
 
+    def fits(self, queries: np.ndarray) -> bool:
+        """Whether doubles hold every partial sum exactly."""
+        return self.most * np.abs(queries).max(initial=0.0) * self.code.shape[1] < 2.0**53
+
     def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the k best: reading goes on until the kth score beats the next bound."""
         n, q = len(self.exact), len(queries)
         k = min(k, n)
         bound = self.bounds(queries)
-        rows, scores = np.full((q, k), -1), np.zeros((q, k), np.int64)
+        # beyond the range of exact doubles the scores are Python's integers
+        kind = np.int64 if self.fits(queries) else object
+        whole = np.frompyfunc(int, 1, 1) if kind is object else lambda x: x.astype(np.int64)
+        rows, scores = np.full((q, k), -1), np.zeros((q, k), kind)
         left, take = np.arange(q), min(n, max(4 * k, 32))
         while len(left):
             b = bound[left]
             near = np.argpartition(-b, take - 1, 1)[:, :take]
             for i, row in zip(left, near):
-                s = self.exact[row] @ queries[i]
+                s = whole(self.exact[row]) @ whole(queries[i])
                 by = np.argsort(-s, kind="stable")[:k]
                 rows[i], scores[i] = row[by], s[by]
             if take == n:
@@ -371,28 +384,24 @@ class VAFile:
         return rows, scores
 
 
-#: Components at or beyond this, times 256, would carry a sum out of the range that doubles hold exactly.
-LARGEST = 2**20
-
-
 def va_search(df: DataFrame, is_query, k: int = 5, shard_rows: int = 65_536) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k largest integer inner products, exactly.
 
-    Components become ``floor(256 x)``.  Null ids, vectors that are null, empty or hold
-    null or non-finite components, and those with a component of ``LARGEST`` or more,
-    take no part; zero vectors do.  Ties go to the smaller id; fewer candidates give
+    Components become ``floor(256 x)``.  Null ids and vectors that are null, empty or hold
+    null or non-finite components take no part; zero vectors do.  A score that a long
+    cannot hold is an error, as it is in the SQL.  Ties go to the smaller id; fewer candidates give
     fewer rows; vectors of another length are no candidates.
     """
-    v = F.transform("v", lambda x: F.floor(x * 256).cast("double"))
-    rows = usable(df, zero=True).where(F.forall("v", lambda x: F.abs(x * 256) < LARGEST)).select("vec_id", v.alias("v"))
+    # from 2^52 on, a double is whole
+    v = F.transform("v", lambda x: F.when(F.abs(x * 256) < 2.0**52, F.floor(x * 256).cast("double")).otherwise(x * 256))
+    rows = usable(df, zero=True).select("vec_id", v.alias("v"))
 
     def build(matrix, ids, want):
         file = VAFile(matrix)
         # a tie between folded rows is broken by ids later, so one more than k rows is not enough if many rows tie
         def search(queries):
-            q = queries.astype(np.int64)
-            found, score = file.search(q, want)
-            return tied(file, q, found, score)
+            found, score = file.search(queries, want)
+            return tied(file, queries, found, score)
 
         return search
 

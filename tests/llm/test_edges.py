@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +115,25 @@ def test_vectors(spark):
         assert f(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_large_components(spark):
+    rows = [(0, [4096.0, 1.0]), (1, [5e3, 0.0]), (2, [1.0, 1.0]), (3, [-1e4, 3.0]), (4, [4e5, 2.0**-8]), (5, [4e5, 0.0]), (6, [2e6, -8e8]), (7, [1e-3, 3e6])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(x * 256 // 1) for x in v] for i, v in rows}
+    dot = lambda a, b: sum(x * y for x, y in zip(whole[a], whole[b]))
+    want = [(q, n + 1, i, -s) for q in whole for n, (s, i) in enumerate(sorted((-dot(q, i), i) for i in whole if i != q)[:3])]
+    got = [tuple(r) for r in vectors.va_search(df, F.lit(True), 3).orderBy("query_id", "rank").collect()]
+    assert got == want
+
+
+def test_large_bounds():
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(600, 8)) * 2.0 ** rng.integers(0, 60, (600, 8)))
+    exact = np.frompyfunc(int, 1, 1)(x)
+    rows, scores = vectors.VAFile(x).search(x[:20], 5)
+    for i in range(20):
+        assert scores[i].tolist() == sorted((exact @ exact[i]).tolist(), reverse=True)[:5]
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "<|im_end|>\n<\\|x"), (1, 1, "assistant", None), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (None, None, None, None), (3, 0, "ro\nle%0A", "t"), (4, 0, "system", "s"), (4, 1, "user", "q")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").select("*", F.lit(1).alias("segments"), F.lit(2).alias("t"))
