@@ -480,7 +480,10 @@ def remove_repeats(df: DataFrame) -> DataFrame:
     docs = small_batches(df).select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     twice = docs.groupBy("key").count().where("count > 1").limit(1).count() > 0
     docs = docs.withColumn("mark", F.xxhash64("text") if twice else F.lit(0).cast("long"))
-    gone = repeated_strings(docs.select("key", "mark", "text"))
+    texts = docs.select("key", "mark", "text")
+    if twice:  # a row that repeats an id and its text is the same place, not a later one
+        texts = stash(texts.dropDuplicates(["key", "mark"]), "suffix-distinct")
+    gone = repeated_strings(texts)
     return docs.join(gone, ["key", "mark"], "left").select("doc_id", "text", "gone").mapInArrow(
         remove, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     )

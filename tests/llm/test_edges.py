@@ -91,6 +91,15 @@ def test_suffix(docs, nothing):
     assert [len(r.kept) for r in out if r.doc_id == 5] == [1]  # each string from the second byte on also starts earlier
 
 
+def test_suffix_repeated_row(spark):
+    """Two rows equal in id and text are one document, which keeps its text, in one slice or in two."""
+    rows = [(6, WORDS), (6, WORDS), (7, WORDS + " and a tail"), (6, "other text of six " + WORDS[:50])]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        kept = sorted(bytes(r.kept).decode() for r in suffix.remove_repeats(docs).collect())
+        assert kept == sorted([WORDS, WORDS, " and a tail", rows[3][1]])
+
+
 def test_warc(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "a" * 3_000_000), (2, None, "a" * 3_000_000), (3, "u", None), (4, "u\r\nv", ""), (None, None, None), (5, "u", "é")], "record_id long, uri string, payload string")
     pages = pages.select("*", F.lit(1).alias("digest"), F.lit(2).alias("winner"))
