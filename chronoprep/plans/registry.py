@@ -440,7 +440,7 @@ def channel_capacity(spark, d):
 
 @query()
 def fft_peaks(spark, d):
-    return signal.peaks(signal.spectrum(t(spark, d, "events"), "value", ORDER, 450))
+    return signal.peaks(signal.spectrum(t(spark, d, "events"), "value", ORDER))
 
 
 @query()

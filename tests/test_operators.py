@@ -348,3 +348,18 @@ def test_stream(spark, prices, tmp_path):
     q = normalized_stream(spark, str(tmp_path / "p"), prices.schema, p).writeStream.format("memory").queryName("normalized").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert abs(spark.sql("SELECT avg(close) FROM normalized").first()[0]) < 1e-6
+
+
+def test_fft_peaks_see_the_reference_rows(spark):
+    import numpy as np
+
+    from chronoprep.plans import registry
+
+    d = "/root/testdata/sf0.01"
+    rows = sorted((r.ts, r.event_id, r.value) for r in spark.read.parquet(f"{d}/events.parquet").collect())[-4500:]
+    assert len(rows) == 4500
+    y = 10 * np.log10(np.abs(np.fft.fft([float(v) for *_, v in rows])) + 1e-10)[:2250]
+    want = [k for k in range(1, 2249) if y[k - 1] < y[k] > y[k + 1]][:5]
+    got = registry.queries()["fft_peaks"](spark, d).collect()
+    assert [r.k for r in got] == want
+    assert all(abs(r.freq - r.k / 4500) < 1e-12 and abs(r.decibel - y[r.k]) < 1e-6 for r in got)
