@@ -33,7 +33,17 @@ def stash(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stash_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stashed tables that nothing reads any more: what was computed from them must be stashed itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stash_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(df: DataFrame, rows: int = 1000, size: int = 8 << 20) -> DataFrame:

@@ -7,14 +7,16 @@ level by level, and on a signature component.  A document of multiplicity w sees
 points below w; the smallest point per component is its signature, whose components
 agree with probability equal to the weighted Jaccard similarity.
 
-Exact copies are folded to one text first.  In each band a text is compared with its
-bucket's leaders, not with all of its bucket: those that match a leader are settled,
-the others are held against the settled ones that an exact bound lets them reach, and
-form the next, smaller bucket with leaders of its own, until none is left.
-Classes are the connected components of the verified links.
-
-Python computes shingles and signatures (loops over words and random processes, in
-slices of bounded bytes); grouping, leaders and components are DataFrame operations.
+Exact copies are folded to one text first.  Texts that share a band form a bucket.  A
+first pass compares each text with its buckets' leaders, which settles nearly all.  A
+second pass takes the buckets that still hold texts of several classes and compares
+signatures across classes, in blocks; pairs whose signatures leave room for a link are
+verified on the texts, the most alike of each text and class first, until no pair across
+classes is left.  Classes are the connected components of the verified links.
+
+Python computes shingles, signatures and their comparison (loops over words and random
+processes, in slices of bounded bytes); grouping, leaders and components are DataFrame
+operations.
 """
 
 from __future__ import annotations
@@ -23,17 +25,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import small_batches, stash, table
+from .common import discard, fresh, small_batches, stash, table
 
 SHINGLE = 5
 COMPONENTS = 125
 ROWS = 5  # per band: at similarity 0.8 a pair meets in none of 25 bands with probability 5e-5
 THRESHOLD = 0.8
+#: Components that signatures must have in common for a pair to be verified: 25.5 below the mean at similarity 0.8,
+#: 5.7 deviations, so that fewer than one link in 10^7 is turned away.
+ALIKE = 75
 SLICE_CHARS = 400_000
+BLOCK = 2048  # texts of a bucket that one group of comparisons holds
+PAIRS = 1 << 17  # signature comparisons at once
 
 U = np.uint64
 _PHI = U(0x9E3779B97F4A7C15)
@@ -130,22 +137,23 @@ def bag_min_hash(doc: np.ndarray, item: np.ndarray, weight: np.ndarray, n_docs:
 
 def overlap(a: str, b: str, memo: dict[str, int]) -> float:
     """Weighted Jaccard similarity of two texts' shingle multisets."""
-    both, one, two = shared(a, b, memo)
-    return both / (one + two - both) if one + two else 1.0
-
-
-def shared(a: str, b: str, memo: dict[str, int]) -> tuple[int, int, int]:
-    """The mass that two texts' shingle multisets share, and the mass of each."""
     doc, item, weight = shingles([a, b], memo)
-    one, two = int(weight[doc == 0].sum()), int(weight[doc == 1].sum())
+    total = int(weight.sum())
     order = np.argsort(item, kind="stable")
     item, weight = item[order], weight[order]
     same = np.flatnonzero(item[1:] == item[:-1])
-    return int(np.minimum(weight[same], weight[same + 1]).sum()), one, two
+    both = int(np.minimum(weight[same], weight[same + 1]).sum())
+    return both / (total - both) if total else 1.0
+
 
+SIGNED = "rep long, mass long, sig binary, bands array<long>"
 
-def bands(texts: DataFrame) -> DataFrame:
-    """``rep, band`` for each of ``rep, text``: one hash per band, with the band's number in it."""
+
+def signatures(texts: DataFrame) -> DataFrame:
+    """``rep, mass, sig, bands`` of ``rep, text``: shingle mass, a byte for each component, and one hash per band with its number in it.
+
+    Texts without shingles have no row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
@@ -162,231 +170,276 @@ def bands(texts: DataFrame) -> DataFrame:
                 with np.errstate(over="ignore"):
                     for k in range(ROWS):
                         acc = mix(acc * _PHI + sig[:, k::ROWS])
-                full = np.zeros(len(part), bool)
-                full[doc] = True
-                rep = np.repeat(part.column("rep").to_numpy()[full], n_bands)
-                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(acc[full].ravel().view(np.int64))], ["rep", "band"])
+                    short = (mix(sig) & U(255)).astype(np.uint8)
+                mass = np.bincount(doc, weight, len(part)).astype(np.int64)
+                full = mass > 0
+                n = int(full.sum())
+                hashes = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * n_bands, pa.int32()), pa.array(acc[full].ravel().view(np.int64)))
+                bytes_ = pa.FixedSizeBinaryArray.from_buffers(pa.binary(COMPONENTS), n, [None, pa.py_buffer(short[full].tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(part.column("rep").to_numpy()[full]), pa.array(mass[full]), bytes_, hashes], ["rep", "mass", "sig", "bands"])
+
+    return texts.mapInArrow(run, SIGNED)
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Signatures as rows of bytes."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), np.uint8) if len(column) else np.zeros(0, np.uint8)
+    return flat.reshape(-1, COMPONENTS)
+
+
+def sized(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether two masses allow the threshold at all."""
+    return np.minimum(one, two) >= THRESHOLD * np.maximum(one, two) - 1e-9
 
-    return texts.mapInArrow(run, "rep long, band long")
+
+def alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The ``leader, rep`` pairs whose masses and signatures leave room for a link."""
+    of = lambda c: signed.select(F.col("rep").alias(c), F.col("mass").alias(f"{c}_mass"), F.col("sig").alias(f"{c}_sig"))
+    both = pairs.join(of("rep"), "rep").join(of("leader"), "leader").select("leader", "rep", "leader_mass", "rep_mass", "leader_sig", "rep_sig")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fit = sized(b.column("leader_mass").to_numpy(), b.column("rep_mass").to_numpy())
+            fit &= (matrix(b.column("leader_sig")) == matrix(b.column("rep_sig"))).sum(1) >= ALIKE
+            yield b.select(["leader", "rep"]).filter(pa.array(fit))
+
+    return both.mapInArrow(run, "leader long, rep long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``leader, rep`` pairs with the mass ``both`` that they share and their own, by exact multiset overlap."""
-    mine = pairs.join(texts, "rep")
-    both = mine.join(texts.select(F.col("rep").alias("leader"), F.col("text").alias("leader_text")), "leader")
+    """The ``leader, rep`` pairs that exact multiset overlap confirms as links."""
+    needed = stash(pairs.select(F.explode(F.array("leader", "rep")).alias("rep")).distinct(), "neardup-needed")
+    texts = stash(texts.join(needed, "rep", "left_semi"), "neardup-asked")
+    both = pairs.join(texts, "rep").join(texts.select(F.col("rep").alias("leader"), F.col("text").alias("leader_text")), "leader")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
         for batch in batches:
             for part in slices(batch, "text", SLICE_CHARS):
-                s = [shared(a, b, memo) for a, b in zip(part.column("leader_text").to_pylist(), part.column("text").to_pylist())]
-                mass = [pa.array([x[i] for x in s], pa.int64()) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([part.column("leader"), part.column("rep"), *mass], ["leader", "rep", "both", "leader_mass", "rep_mass"])
-
-    return both.select("leader", "rep", "text", "leader_text").mapInArrow(run, "leader long, rep long, both long, leader_mass long, rep_mass long")
-
+                near = [overlap(a, b, memo) >= THRESHOLD for a, b in zip(part.column("leader_text").to_pylist(), part.column("text").to_pylist())]
+                yield part.select(["leader", "rep"]).filter(pa.array(near, pa.bool_()))
 
-def near(scored: DataFrame) -> DataFrame:
-    """The ``leader, rep`` links among verified pairs."""
-    return scored.where(F.col("both") / (F.col("leader_mass") + F.col("rep_mass") - F.col("both")) >= THRESHOLD).select("leader", "rep")
+    out = stash(both.select("leader", "rep", "text", "leader_text").mapInArrow(run, "leader long, rep long"), "neardup-links")
+    discard(needed, texts)
+    return out
 
 
 def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
-    """Verified ``leader, rep`` links between distinct texts that connect every class of a bucket.
+    """Verified ``leader, rep`` links between the distinct texts ``rep, text``, whose components are the classes.
 
+    Of any two texts that share a bucket and reach the threshold, the components hold both.
     The leader of a bucket is its text that shares the most buckets with others, most
-    often the original that the others were made from.  After each round the leaders
-    and the members of their classes leave the bucket, also those that belong to them by
-    links found elsewhere; the rest go on, once they are compared with those members too
-    wherever an exact bound leaves room for a link.  Texts that such a link settles
-    stay for the next round, so none leaves before the rest has met it.  Between rounds, texts that an exact bound shows
-    to have no partner among the rest leave too.  After the first round a growing share
-    of the rest, chosen by a hash, leads, so stubborn buckets end after a few rounds; two
-    leaders are compared once.
+    often the original that the others were made from.
     """
-    spark = texts.sparkSession
-    member = stash(bands(texts).join(reps, "rep", "left_semi"), "neardup-bands")
+    signed = stash(signatures(texts).join(reps, "rep", "left_semi").dropDuplicates(["rep"]), "neardup-signatures")
+    member = signed.select("rep", F.explode("bands").alias("band"))
     sizes = stash(member.groupBy("band").agg((F.count("*") - 1).alias("others")).where("others > 0"), "neardup-buckets")
     member = stash(member.join(sizes, "band"), "neardup-members")
-    degree = member.groupBy("rep").agg(F.sum("others").alias("degree"))
+    degree = stash(member.groupBy("rep").agg(F.sum("others").alias("degree")), "neardup-degrees")
     # merged whatever the size, so that the cost of moving texts is in proportion to the input
-    texts = stash(texts.join(stash(degree, "neardup-degrees").hint("merge"), "rep").groupBy("rep", "degree").agg(F.min("text").alias("text")), "neardup-crowded")
-    left = stash(member.select("rep", "band").join(texts.select("rep", "degree"), "rep"), "neardup-left")
-    root = found = done = None
-    shares = iter((16, 4, 1))  # one of so many leads
-    share = None
-    while True:
-        now = left.withColumn("root", F.col("rep")) if root is None else left.join(root, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        first = F.struct("degree", (-F.col("rep")).alias("last"), "root")
-        mixed = stash(now.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band"), "neardup-mixed")
-        if mixed.isEmpty():
-            break
-        now = stash(now.join(mixed, "band"), "neardup-now")
-        if share is None:
-            lead = now.groupBy("band").agg(F.max(first).alias("top"))
-            lead = lead.select("band", (-F.col("top.last")).alias("leader"), F.col("top.root").alias("leader_root"))
-            leads = F.lit(False)
-        else:
-            leads = F.pmod(F.xxhash64("rep"), F.lit(share)) == 0
-            lead = now.where(leads).select("band", F.col("rep").alias("leader"), F.col("root").alias("leader_root"))
-        lead = stash(lead, "neardup-leaders")
-        asked = now.join(lead, "band").where((F.col("root") != F.col("leader_root")) & (~leads | (F.col("rep") > F.col("leader"))))
-        pairs = asked.select(F.least("rep", "leader").alias("leader"), F.greatest("rep", "leader").alias("rep")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["leader", "rep"], "left_anti")
-        pairs = stash(pairs, "neardup-pairs")
-        scored = stash(verified(pairs, texts.select("rep", "text")), "neardup-scored")
-        found = near(scored) if found is None else found.unionByName(near(scored))
-        done = scored if done is None else done.unionByName(scored)
+    texts = stash(texts.join(degree.hint("merge"), "rep").groupBy("rep").agg(F.min("text").alias("text")), "neardup-crowded")
+    lead = member.join(degree, "rep").groupBy("band").agg(F.max(F.struct("degree", (-F.col("rep")).alias("last"))).alias("top"))
+    lead = stash(lead.select("band", (-F.col("top.last")).alias("leader")), "neardup-leaders")
+    pairs = member.join(lead, "band").where("rep <> leader").select(F.least("rep", "leader").alias("leader"), F.greatest("rep", "leader").alias("rep")).distinct()
+    done = stash(alike(stash(pairs, "neardup-pairs"), signed), "neardup-alike")
+    found = verified(done, texts)
+    root = components(found)
+    now = with_roots(member.select("band", "rep"), root)
+    discard(sizes, degree, lead)
+    take = 2
+    while not now.isEmpty():
+        across = stash(crossing(now, signed, take), "neardup-crossing")
+        pairs = stash(across.select("leader", "rep").distinct().join(done, ["leader", "rep"], "left_anti"), "neardup-pairs")
+        found, done = found.unionByName(verified(pairs, texts)), done.unionByName(pairs)
         root = components(found)
-        of = lambda c: root.select(F.col("rep").alias(c), F.col("root").alias(f"{c}_now"))
-        classes = stash(
-            lead.join(of("leader"), "leader", "left").select("band", F.coalesce("leader_now", "leader").alias("rep_now")).distinct(), "neardup-led"
-        )
-        after = now.select("rep", "band", "degree").join(of("rep"), "rep", "left").withColumn("rep_now", F.coalesce("rep_now", "rep"))
-        after = after.join(classes.withColumn("settled", F.lit(True)), ["band", "rep_now"], "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
-        after = stash(after, "neardup-after")
-        pairs = crossing(after, lead, done, texts)
-        if pairs is not None:
-            scored = stash(verified(pairs, texts.select("rep", "text")), "neardup-scored")
-            found, done = found.unionByName(near(scored)), done.unionByName(scored)
-            if not near(scored).isEmpty():
-                root = components(found)
-        left = stash(possible(after.where("not settled").select("rep", "band", "degree"), texts), "neardup-left")
-        share = next(shares, 1)
-    return found if found is not None else spark.createDataFrame([], "leader long, rep long")
-
-
-def crossing(after: DataFrame, lead: DataFrame, done: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """``leader, rep`` pairs of a settled and an unsettled text of a bucket that may reach the threshold, or None.
-
-    Let two texts of masses x and y share a and b with their bucket's leader.  What they
-    share lies in the leader or outside it, so it is at most
-    min(a, b) + min(x - a, y - b); nor is it more than either's mass of shingles that
-    occur in any other of the texts in question.  From these the similarity is bounded.
-    """
-    pivot = lead.groupBy("band").agg(F.min("leader").alias("pivot"))
-    member = after.join(lead.select("band", F.col("leader").alias("rep")), ["band", "rep"], "left_anti")
-    sides = member.groupBy("band").agg(F.min("settled").alias("low"), F.max("settled").alias("high")).where("low <> high").select("band")
-    member = member.join(stash(sides, "neardup-sides"), "band").join(pivot, "band").withColumns({"one": F.least("rep", "pivot"), "two": F.greatest("rep", "pivot")})
-    member = member.join(done.withColumnsRenamed({"leader": "one", "rep": "two"}), ["one", "two"], "left")
-    mass = F.when(F.col("rep") == F.col("one"), F.col("leader_mass")).otherwise(F.col("rep_mass"))
-    # without a comparison with the leader nothing is known, and all may be shared
-    member = stash(member.select("band", "rep", "rep_now", "settled", mass.alias("mass"), "both", (mass - F.col("both")).alias("out")), "neardup-crossing")
-    whole = F.lit(2**62)
-
-    def reach(mine: DataFrame, others: DataFrame) -> DataFrame:
-        far = stash(others.groupBy("band").agg(F.max(F.coalesce("out", whole)).alias("far")), "neardup-reach")
-        fits = F.col("both") + F.least("out", "far") >= THRESHOLD * F.col("mass") - 1e-6
-        return stash(mine.join(far, "band").where(F.coalesce(fits, F.lit(True))).drop("far"), "neardup-reaching")
-
-    open_ = reach(member.where("not settled"), member.where("settled"))
-    if open_.isEmpty():
-        return None
-    shut = reach(member.where("settled"), open_)
-    own = stash(masses(open_.select("rep").union(shut.select("rep")).distinct(), texts), "neardup-mass")
-    known = own.withColumn("s", F.col("total") - F.col("u"))
-    open_, shut = open_.join(known, "rep"), stash(shut.join(known, "rep"), "neardup-shut")
-
-    def hopeful(mine: DataFrame, others: DataFrame) -> DataFrame:
-        least = stash(others.groupBy("band").agg(F.min("u").alias("v")), "neardup-least")
-        return stash(mine.join(least, "band").where(F.col("s") >= THRESHOLD * (F.col("total") + F.col("v")) - 1e-6).drop("v"), "neardup-hopeful")
-
-    open_ = hopeful(open_, shut)
-    shut = hopeful(shut, open_).select("band", *[F.col(c).alias(f"{c}_x") for c in ("rep", "rep_now", "both", "out", "total", "s")])
-    by_leader = F.least("both", "both_x") + F.least("out", "out_x")
-    inside = F.when(F.col("both").isNull() | F.col("both_x").isNull(), whole).otherwise(by_leader)
-    most = F.least("s", "s_x", inside)
-    fits = (F.col("rep_now") != F.col("rep_now_x")) & (most >= THRESHOLD * (F.col("total") + F.col("total_x") - most) - 1e-6)
-    pairs = open_.join(shut, "band").where(fits).select(F.least("rep", "rep_x").alias("leader"), F.greatest("rep", "rep_x").alias("rep")).distinct()
-    return stash(pairs.join(done, ["leader", "rep"], "left_anti"), "neardup-pairs")
-
-
-def possible(left: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``rep, band, degree`` rows whose text may still reach the threshold with another one of them.
-
-    Let s be the mass of a text's shingles that occur in any other remaining text, u the
-    rest, and v the smallest u in its bucket.  With a partner it shares at most s, while
-    the union holds s + u and the partner's own rest, so the similarity is at most
-    s / (s + u + v).
+        open_ = across.where("more").select("band").distinct()
+        now = with_roots(now.select("band", "rep").join(open_, "band", "left_semi"), root)
+        take *= 32
+    discard(texts, signed, member)
+    return found
+
+
+def with_roots(member: DataFrame, root: DataFrame) -> DataFrame:
+    """``band, rep, root, n, big`` of the buckets that hold several classes: texts in the bucket, and its largest class."""
+    known = stash(member.join(root, "rep", "left").select("band", "rep", F.coalesce("root", "rep").alias("root")), "neardup-rooted")
+    mixed = known.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
+    mixed = stash(known.join(stash(mixed, "neardup-mixed"), "band"), "neardup-mixed-members")
+    sizes = mixed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root"))["root"].alias("big"))
+    return stash(mixed.join(stash(sizes, "neardup-mixed-sizes"), "band"), "neardup-now")
+
+
+def crossing(now: DataFrame, signed: DataFrame, take: int) -> DataFrame:
+    """``leader, rep, band, more``: pairs of a bucket across classes whose signatures leave room for a link.
+
+    The texts outside a bucket's largest class are queries against all of the bucket,
+    which is dealt in blocks, so no task holds more than a block and a batch of queries.
+    For each query and class the ``take`` most alike texts of a block come out; ``more``
+    says that there are others.
     """
-    mass = stash(masses(left.select("rep").distinct(), texts), "neardup-mass")
-    known = stash(left.join(mass, "rep"), "neardup-bound")
-    least = stash(known.groupBy("band").agg(F.min("u").alias("v")), "neardup-least")
-    return known.join(least, "band").where((F.col("total") - F.col("u")) >= THRESHOLD * (F.col("total") + F.col("v")) - 1e-6).select("rep", "band", "degree")
-
-
-def masses(who: DataFrame, texts: DataFrame) -> DataFrame:
-    """``rep, total, u`` of the texts ``who``: the mass of all shingles, and of those that occur in no other of them."""
+    rows = now.join(signed.select("rep", "mass", "sig"), "rep")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int")
+    columns = ("rep", "root", "big", "mass", "sig")
+    base = rows.select("band", own.alias("block"), F.lit(0).alias("kind"), *columns)
+    asked = rows.where("root <> big").select("band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("kind"), *columns)
+    dealt = base.unionByName(asked).repartition("band", "block").sortWithinPartitions("band", "block", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, int] = {}
+        held = None
         for batch in batches:
-            for part in slices(batch, "text", SLICE_CHARS):
-                doc, item, weight = shingles(part.column("text").to_pylist(), memo)
-                rep = part.column("rep").to_numpy()[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(item.view(np.int64)), pa.array(weight)], ["rep", "item", "weight"])
-
-    rows = stash(texts.join(who, "rep").select("rep", "text").mapInArrow(run, "rep long, item long, weight long"), "neardup-shingles")
-    alone = rows.groupBy("item").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"), F.max("weight").alias("weight")).where("rep = last")
-    mass = rows.groupBy("rep").agg(F.sum("weight").alias("total"))
-    own = alone.groupBy("rep").agg(F.sum("weight").alias("u"))
-    return mass.join(own, "rep", "left").select("rep", "total", F.coalesce("u", F.lit(0)).alias("u"))
+            now = {c: batch.column(c).to_numpy() for c in ("band", "block", "kind", "rep", "root", "big", "mass")} | {"sig": matrix(batch.column("sig"))}
+            if not len(now["rep"]):
+                continue
+            if held is not None:
+                now = {c: np.concatenate([held[c], now[c]]) for c in now}
+            head = np.r_[True, (now["band"][1:] != now["band"][:-1]) | (now["block"][1:] != now["block"][:-1])]
+            group = np.cumsum(head) - 1
+            first = np.flatnonzero(head)
+            count = np.bincount(group, now["kind"] == 0).astype(np.int64)
+            # queries whose answers have gone out already are not held, so all that are here are new
+            yield from compared(now, np.flatnonzero(now["kind"] == 1), first[group], count[group], take)
+            last = slice(first[-1], first[-1] + count[-1])
+            held = {c: v[last] for c, v in now.items()}
+
+    return dealt.mapInArrow(run, "leader long, rep long, band long, more boolean")
+
+
+def compared(rows: dict, query: np.ndarray, first: np.ndarray, count: np.ndarray, take: int) -> Iterator[pa.RecordBatch]:
+    upto = np.cumsum(count[query])
+    at = 0
+    while at < len(query):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+        q = query[at:end]
+        n = count[q]
+        a = np.repeat(q, n)
+        b = np.repeat(first[q] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        at = end
+        # two queries meet twice, once from either side
+        fit = (rows["root"][a] != rows["root"][b]) & ((rows["root"][b] == rows["big"][b]) | (rows["rep"][a] < rows["rep"][b]))
+        fit &= sized(rows["mass"][a], rows["mass"][b])
+        a, b = a[fit], b[fit]
+        agree = (rows["sig"][a] == rows["sig"][b]).sum(1)
+        fit = agree >= ALIKE
+        a, b, agree = a[fit], b[fit], agree[fit]
+        if not len(a):
+            continue
+        order = np.lexsort((rows["rep"][b], -agree, rows["root"][b], a))
+        a, b = a[order], b[order]
+        head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (rows["root"][b][1:] != rows["root"][b][:-1])])
+        size = np.diff(np.r_[head, len(a)])
+        best = np.arange(len(a)) - np.repeat(head, size) < take
+        more = np.repeat(size > take, size)[best]
+        a, b = a[best], b[best]
+        x, y = rows["rep"][a], rows["rep"][b]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(rows["band"][a]), pa.array(more)], ["leader", "rep", "band", "more"])
+
+
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The components of a partition's edges as ``rep, root`` rows, root being the smallest member; roots have none."""
+    held = [(b.column("rep").to_numpy(), b.column("root").to_numpy()) for b in batches]
+    if not held:
+        return
+    ends = np.concatenate([x for pair in zip(*held) for x in pair])
+    nodes, at = np.unique(ends, return_inverse=True)
+    one, two = at[: len(at) // 2], at[len(at) // 2 :]
+    label = np.arange(len(nodes))
+    while True:
+        a, b = label[one], label[two]
+        if (a == b).all():
+            break
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (up := label[label]).tolist() != label.tolist():
+            label = up
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], ["rep", "root"])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``rep, root``: the smallest member of each connected component, for all ends of ``leader, rep`` edges.
+    """``rep, root``: the smallest member of each connected component, for all other ends of ``leader, rep`` edges.
 
-    In every round each tree moves to the smallest root that any of its members
-    touches, so the number of rounds follows the logarithm of a component's diameter
-    in trees rather than its diameter.
+    Each round deals the edges by an end and replaces every partition's by its own
+    components, which holds at most one row for a member and partition; then each root
+    that is below another one in some partition passes that on.  It is over when every
+    member has one root that is nobody's member.
     """
-    ends = F.array(F.struct(F.col("leader").alias("a"), F.col("rep").alias("b")), F.struct(F.col("rep").alias("a"), F.col("leader").alias("b")))
-    both = stash(edges.select(F.explode(ends).alias("e")).select("e.*").distinct(), "component-edges")
-    label = stash(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "component-labels")
+    forest = edges.select("rep", F.col("leader").alias("root"))
     while True:
-        known = label.select(F.col("rep").alias("b"), F.col("root").alias("seen"))
-        step = both.join(known, "b").join(label.select(F.col("rep").alias("a"), "root"), "a")
-        hooks = step.groupBy("root").agg(F.least(F.min("seen"), F.col("root")).alias("to"))
-        new = stash(label.join(stash(hooks, "component-hooks"), "root").select("rep", F.col("to").alias("root"), (F.col("to") != F.col("root")).alias("moved")), "component-labels")
-        if new.where("moved").isEmpty():
-            return label
-        label = new.select("rep", "root")
+        forest = stash(forest.repartition("rep").mapInArrow(contract, "rep long, root long"), "component-forest")
+        places = forest.select("rep").unionAll(forest.select(F.col("root").alias("rep")).distinct())
+        if places.groupBy("rep").count().where("count > 1").isEmpty():
+            return forest
+        above = forest.select(F.col("rep").alias("root"), F.col("root").alias("top"))
+        forest = forest.join(above, "root", "left").select("rep", F.coalesce("top", "root").alias("root")).unionAll(forest).distinct()
+
+
+def text_hash(text: str = "text") -> tuple[Column, Column]:
+    """128 bits that stand for a text; blank texts differ by id."""
+    blank = ~F.col(text).rlike(r"\S")
+    return F.when(blank, F.col("doc_id")).otherwise(F.xxhash64(text)), F.when(blank, F.lit(0)).otherwise(F.xxhash64(F.lit(7), text))
+
+
+def text_classes(docs: DataFrame) -> DataFrame:
+    """``doc_id, a, b, text_id, class_id, first_a, first_b`` for each row with an id: the hash of its text and of the class's first text.
+
+    The first text of a class is that of the smallest id, and of these the smallest hash,
+    so rows that repeat an id with different texts are judged each for itself.
+    """
+    docs = small_batches(docs)
+    kept = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    a, b = text_hash()
+    ids = stash(kept.select("doc_id", a.alias("a"), b.alias("b")), "neardup-ids")
+    folded = stash(ids.groupBy("a", "b").agg(F.min("doc_id").alias("text_id")), "neardup-folded")
+    if folded.groupBy("text_id").count().where("count > 1").isEmpty():
+        folded = folded.withColumn("rep", F.col("text_id"))
+        texts = kept.withColumnRenamed("doc_id", "rep")
+    else:  # an id stands for its first text, a hash for each further one
+        number = F.row_number().over(Window.partitionBy("text_id").orderBy("a", "b"))
+        folded = stash(folded.withColumn("rep", F.when(number == 1, F.col("text_id")).otherwise(F.xxhash64(F.lit("again"), "text_id", "a", "b"))), "neardup-numbered")
+        texts = kept.withColumns({"a": a, "b": b}).join(folded.withColumnRenamed("text_id", "doc_id"), ["doc_id", "a", "b"]).select("rep", "text")
+    found = links(texts, folded.select("rep"))
+    known = folded.join(components(found), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    known = stash(known, "neardup-known")
+    first = known.groupBy("root").agg(F.min(F.struct("text_id", "a", "b")).alias("first"))
+    known = known.join(stash(first, "neardup-firsts"), "root")
+    known = known.select("a", "b", "text_id", F.col("first.text_id").alias("class_id"), F.col("first.a").alias("first_a"), F.col("first.b").alias("first_b"))
+    return ids.join(stash(known, "neardup-classes"), ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_id, class_id, n_links`` for each document.
+    """``doc_id, text_id, class_id`` for each document.
 
     ``text_id`` is the smallest id of the documents with the very same text (by a 128-bit
     hash), ``class_id`` that of its class: documents connected by
     links of weighted Jaccard similarity of at least 0.8 between five-word shingle
     multisets.  A text of fewer than five words is one shingle of all its words; null and
     empty texts have no shingle and are each a class of their own, as are rows with a
-    null id, which get null classes.  ``n_links`` counts the links of the text to other
-    texts that were verified on the way to the classes, not all that exist.  Rows that repeat an id with different texts are one document that
-    meets others by any of its texts and is verified by the first of them in text order.
+    null id, which get null classes.  Rows that repeat an id are one row of the result; where
+    their texts differ, each is linked by itself, and the id has the smallest class of them.
     """
-    docs = small_batches(docs)
-    kept = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    blank = ~F.col("text").rlike(r"\S")
-    ids = stash(
-        kept.select("doc_id", F.when(blank, F.col("doc_id")).otherwise(F.xxhash64("text")).alias("a"), F.when(blank, F.lit(0)).otherwise(F.xxhash64(F.lit(7), "text")).alias("b")),
-        "neardup-ids",
-    )
-    folded = stash(ids.groupBy("a", "b").agg(F.min("doc_id").alias("text_id")), "neardup-folded")
-    of = stash(ids.join(folded, ["a", "b"]).select("doc_id", "text_id"), "neardup-copies")
-    reps = folded.select(F.col("text_id").alias("rep"))
-    found = stash(links(kept.withColumnRenamed("doc_id", "rep"), reps), "neardup-found")
-    roots = components(found)
-    ends = found.select(F.explode(F.array("leader", "rep")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    classes = stash(roots.join(ends, "rep"), "neardup-classes")
-    out = of.join(classes.withColumnRenamed("rep", "text_id"), "text_id", "left").groupBy("doc_id").agg(
-        F.min("text_id").alias("text_id"), F.min(F.coalesce("root", "text_id")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links")
-    )
-    missing = docs.where(F.col("doc_id").isNull()).select(
-        F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("text_id"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")
-    )
-    return out.unionByName(missing)
+    out = text_classes(docs).groupBy("doc_id").agg(F.min("text_id").alias("text_id"), F.min("class_id").alias("class_id"))
+    nobody = F.lit(None).cast("long")
+    return out.unionByName(docs.where(F.col("doc_id").isNull()).select(F.col("doc_id").cast("long"), nobody.alias("text_id"), nobody.alias("class_id")))
+
+
+def first_of_classes(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the row with the smallest id, then the smallest text hash.
+
+    Rows with a null id stay.  Of rows equal in id and text one stays, the first by the other columns' hash.
+    """
+    known = text_classes(docs).where("doc_id = class_id and a = first_a and b = first_b").select("doc_id", "a", "b").groupBy("doc_id", "a", "b").agg(F.count("*").alias("n"))
+    known = stash(known, "neardup-kept")
+    names = [fresh(docs, x) for x in ("_a", "_b", "_n")]
+    text = fresh(docs, "_text")
+    rows = docs.where(F.col("doc_id").isNotNull()).withColumn(text, F.coalesce("text", F.lit("")))
+    a, b = text_hash(text)
+    rows = rows.withColumns({names[0]: a, names[1]: b}).join(known.toDF("doc_id", *names), ["doc_id", *names[:2]])
+    if not known.where("n > 1").isEmpty():
+        other = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])
+        at = fresh(docs, "_at")
+        rows = rows.withColumn(at, F.row_number().over(Window.partitionBy("doc_id", *names[:2]).orderBy(other))).where(F.col(at) == 1)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return rows.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()).select(*columns))
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,11 +55,20 @@ def test_near_duplicates(docs, nothing):
     assert neardup.near_duplicates(nothing).count() == 0
     out = {r.doc_id: r for r in neardup.near_duplicates(docs).collect()}
     assert out[1].class_id == out[2].class_id == 1
-    assert out[9].class_id == 9  # two texts; the first in text order speaks for the id
+    assert out[9].class_id == 1  # two texts, one of which is a near copy of the first
     assert out[3].class_id == 3 and out[4].class_id == 4 and out[7].class_id == 7
     assert out[None].class_id is None
 
 
+def test_first_of_classes(docs, nothing):
+    assert neardup.first_of_classes(nothing).count() == 0
+    out = neardup.first_of_classes(docs)
+    assert out.columns == docs.columns
+    rows = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in out.collect())
+    # each text of a repeated id is judged for itself; equal rows are one
+    assert rows == sorted([(1, WORDS), (3, ""), (4, ""), (5, "x" * 300_000), (6, "a b c\n" * 50), (-1, ""), (-1, "no id here"), (7, "\n\n \n"), (8, "é ü 漢字 \U0001f600 <|endoftext|>"), (9, "other text of nine")])
+
+
 def test_mixing(docs, nothing, labels):
     for d in (docs, nothing):
         for sample in (labels, labels.where("false")):

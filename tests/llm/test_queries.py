@@ -65,7 +65,7 @@ def test_suffix_index():
         assert found == [i for i in range(len(text) - 11) if (text[i : i + 12] == piece).all()]
 
 
-def test_near_duplicates_brute(spark, texts):
+def brute_classes(texts):
     memo, bags, by = {}, {}, defaultdict(list)
     for i, t in texts.items():
         _, item, weight = neardup.shingles([t], memo)
@@ -85,8 +85,60 @@ def test_near_duplicates_brute(spark, texts):
             if both >= 0.8 * (sum(bags[i].values()) + sum(bags[j].values()) - both):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in texts}
+
+
+def classes(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+
+
+def test_near_duplicates_brute(spark, texts):
     got = {r.doc_id: r.class_id for r in neardup.op4_near_duplicates(spark, SMALL).collect()}
-    assert got == {i: find(i) for i in texts}
+    assert got == brute_classes(texts)
+
+
+def test_near_duplicates_in_chains(spark):
+    """Chains of copies of recent copies with one to three words changed, from long and short texts at once."""
+    rng, rows = np.random.default_rng(11), []
+    for c in range(10):
+        chain = [[f"c{c}w{x}" for x in rng.integers(0, 400, int(rng.choice([40, 70, 120])))]]
+        for _ in range(59):
+            w = list(chain[-1 - int(rng.integers(0, min(4, len(chain))))])
+            for _ in range(int(rng.integers(1, 4))):
+                w[int(rng.integers(0, len(w)))] = f"c{c}e{rng.integers(10**6)}"
+            chain.append(w)
+        rows += [(60 * c + i, " ".join(w)) for i, w in enumerate(chain)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    assert classes(spark, rows) == brute_classes(dict(sorted(rows)))
+
+
+def test_near_duplicates_in_stars(spark):
+    """Copies around an original, many of them below the threshold with it but above it with each other."""
+    rng, rows = np.random.default_rng(12), []
+    for c in range(6):
+        base = [f"c{c}w{x}" for x in range(150)]
+        for i in range(80):
+            w, arm = list(base), int(rng.integers(0, 5))
+            for k in range(int(rng.integers(2, 8))):
+                w[(29 * arm + 3 * k) % 150] = f"c{c}a{arm}k{k}"
+            if rng.random() < 0.5:
+                w[int(rng.integers(0, 150))] = f"c{c}i{i}"
+            rows.append((100 * c + i, " ".join(w)))
+    assert classes(spark, rows) == brute_classes(dict(rows))
+
+
+def test_components_of_paths_and_trees(spark):
+    rng = np.random.default_rng(13)
+    name = rng.permutation(2000) * 7 - 5000
+    edges = [(i, i + 1) for i in range(0, 500)] + [(int(rng.integers(600, i)), i) for i in range(601, 1300)] + [(1300, i) for i in range(1301, 2000)]
+    rows = [(int(min(name[a], name[b])), int(max(name[a], name[b]))) for a, b in edges]
+    got = {r.rep: r.root for r in neardup.components(spark.createDataFrame(rows, "leader long, rep long").repartition(7)).collect()}
+    want = {}
+    for lo, hi in ((0, 501), (600, 1300), (1300, 2000)):
+        members = name[lo:hi].tolist()
+        want |= {m: min(members) for m in members if m != min(members)}
+    assert got == want
 
 
 def test_near_duplicates_reach_settled_members(spark):
