@@ -15,41 +15,52 @@ from chronoprep.llm.common import stash, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, fitted on the labelled ones among them, does not reject."""
+    """Documents that the toxicity model, fitted on the labelled ones among them, does not reject.
+
+    Null and empty texts and rows with a null id stay; without labels all do.  Rows that repeat are judged alike.
+    """
     model = toxicity.fit_toxicity(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels")))
     return toxicity.drop_toxic(docs, model)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later repeated runs of lines; those of which nothing is left go."""
+    """Documents without later repeated runs of lines; those of which nothing is left go.
+
+    Texts that were null, empty or blank before stay.  Rows equal in id and text are one
+    place and stay alike.  ``n_chars`` follows the text where lines went.
+    """
     out = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
     chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", chars).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: that with the smallest id.  Rows with a null id stay."""
-    classes = neardup.near_duplicates(docs)
-    kept = classes.where("doc_id = class_id").select("doc_id").distinct()
-    whole = docs.where("doc_id is not null")
-    out = whole.join(stash(kept, "pipeline-kept"), "doc_id", "left_semi")
-    if not whole.groupBy("doc_id").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    return out.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One document of each class of near duplicates: that with the smallest id.
+
+    Rows that repeat an id with different texts are judged each for itself; rows equal in
+    id and text are one.  Rows with a null id stay, and blank texts are no copies.
+    """
+    return neardup.first_of_classes(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that the expected share of tokens of each quality domain meets its weight."""
+    """Documents repeated so that the expected share of tokens of each quality domain meets its weight.
+
+    Rows without tokens, and all if no label matches, stay once.  Equal rows have equal numbers of copies.
+    """
     labelled = mixing.quality_domains(table(spark, sf_dir, "labels"))
     return mixing.repeated(docs, labelled, mixing.WEIGHTS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of the whole texts."""
+    """``doc_id, n_tokens, ids, decoded_sha256``: the ids of each whole text, and the digest of what they decode to.
+
+    Null and empty texts have no ids; rows stay as often as they come.
+    """
     import public_tokenizers
 
-    out = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), decoded=False)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    out = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
