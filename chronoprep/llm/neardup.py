@@ -41,6 +41,7 @@ ALIKE = 75
 SLICE_CHARS = 400_000
 BLOCK = 2048  # texts of a bucket that one group of comparisons holds
 PAIRS = 1 << 17  # signature comparisons at once
+CELL = 2000  # texts to a side of a cell in which pairs are verified
 
 U = np.uint64
 _PHI = U(0x9E3779B97F4A7C15)
@@ -207,23 +208,81 @@ def alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``leader, rep`` pairs that exact multiset overlap confirms as links."""
+    """The ``leader, rep`` pairs that exact multiset overlap confirms as links.
+
+    Pairs lie in a square of cells by the hashes of their ends, with as many cells a side
+    as keeps some thousand texts in each, and a text goes once to each cell that asks for it.
+    """
     needed = stash(pairs.select(F.explode(F.array("leader", "rep")).alias("rep")).distinct(), "neardup-needed")
-    texts = stash(texts.join(needed, "rep", "left_semi"), "neardup-asked")
-    both = pairs.join(texts, "rep").join(texts.select(F.col("rep").alias("leader"), F.col("text").alias("leader_text")), "leader")
+    side = max(8, -(-needed.count() // CELL))
+    line = lambda c: F.pmod(F.xxhash64(c), F.lit(side).cast("long"))
+    dealt = pairs.withColumn("cell", line("leader") * side + line("rep"))
+    wants = dealt.select("cell", F.explode(F.array("leader", "rep")).alias("rep")).distinct()
+    given = texts.join(wants, "rep").select("cell", F.lit(0).alias("kind"), "rep", F.lit(0).cast("long").alias("leader"), "text")
+    asked = dealt.select("cell", F.lit(1).alias("kind"), "rep", "leader", F.lit("").alias("text"))
+    rows = given.unionAll(asked).repartition("cell").sortWithinPartitions("cell", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
+        now, cell = None, Cell()
         for batch in batches:
-            for part in slices(batch, "text", SLICE_CHARS):
-                near = [overlap(a, b, memo) >= THRESHOLD for a, b in zip(part.column("leader_text").to_pylist(), part.column("text").to_pylist())]
-                yield part.select(["leader", "rep"]).filter(pa.array(near, pa.bool_()))
-
-    out = stash(both.select("leader", "rep", "text", "leader_text").mapInArrow(run, "leader long, rep long"), "neardup-links")
-    discard(needed, texts)
+            number, kind = batch.column("cell").to_numpy(), batch.column("kind").to_numpy()
+            edges = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (kind[1:] != kind[:-1])]).tolist() if len(batch) else []
+            for start, end in zip(edges, [*edges[1:], len(batch)]):
+                part = batch.slice(start, end - start)
+                if number[start] != now:
+                    now, cell = number[start], Cell()
+                if kind[start] == 0:
+                    for few in slices(part, "text", SLICE_CHARS):
+                        cell.add(few.column("rep").to_numpy(), *shingles(few.column("text").to_pylist(), memo))
+                else:
+                    near = cell.similarity(part.column("leader").to_numpy(), part.column("rep").to_numpy()) >= THRESHOLD
+                    yield part.select(["leader", "rep"]).filter(pa.array(near))
+
+    out = stash(rows.mapInArrow(run, "leader long, rep long"), "neardup-links")
+    discard(needed)
     return out
 
 
+class Cell:
+    """Shingle multisets of some texts, to compare many pairs of them."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, rep: np.ndarray, doc: np.ndarray, item: np.ndarray, weight: np.ndarray) -> None:
+        self.parts.append((rep, np.bincount(doc, minlength=len(rep)), item, weight))
+
+    def index(self) -> None:
+        rep, count, item, self.weight = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts = []
+        kinds, self.column = np.unique(item, return_inverse=True)
+        self.start = np.cumsum(count) - count
+        self.count = count
+        self.mass = np.bincount(np.repeat(np.arange(len(rep)), count), self.weight, len(rep))
+        self.order = np.argsort(rep)
+        self.rep = rep[self.order]
+        self.mark = np.zeros(len(kinds), np.int64)
+
+    def similarity(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        if self.parts:
+            self.index()
+        a, b = (self.order[np.searchsorted(self.rep, x)] for x in (one, two))
+        by = np.argsort(a, kind="stable")
+        heads = np.flatnonzero(np.r_[True, a[by][1:] != a[by][:-1]])
+        both = np.zeros(len(a))
+        for rows in np.split(by, heads[1:]):
+            i = a[rows[0]]
+            own = slice(self.start[i], self.start[i] + self.count[i])
+            self.mark[self.column[own]] = self.weight[own]
+            others = b[rows]
+            n = self.count[others]
+            at = np.repeat(self.start[others] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both[rows] = np.bincount(np.repeat(np.arange(len(rows)), n), np.minimum(self.mark[self.column[at]], self.weight[at]), len(rows))
+            self.mark[self.column[own]] = 0
+        return both / np.maximum(self.mass[a] + self.mass[b] - both, 1)
+
+
 def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     """Verified ``leader, rep`` links between the distinct texts ``rep, text``, whose components are the classes.
 
@@ -246,7 +305,7 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     root = components(found)
     now = with_roots(member.select("band", "rep"), root)
     discard(sizes, degree, lead)
-    take = 2
+    take = 8
     while not now.isEmpty():
         across = stash(crossing(now, signed, take), "neardup-crossing")
         pairs = stash(across.select("leader", "rep").distinct().join(done, ["leader", "rep"], "left_anti"), "neardup-pairs")
@@ -254,7 +313,7 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
         root = components(found)
         open_ = across.where("more").select("band").distinct()
         now = with_roots(now.select("band", "rep").join(open_, "band", "left_semi"), root)
-        take *= 32
+        take *= 64
     discard(texts, signed, member)
     return found
 
