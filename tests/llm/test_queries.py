@@ -232,11 +232,67 @@ def test_mixing_meets_targets(spark):
     assert out.where("rate < 0 or copies < 0").isEmpty()
 
 
+def least_residual(a, target):
+    """Nonnegative least squares by active sets, on a small dense matrix."""
+    x, free = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    while True:
+        slope = np.where(free, -np.inf, a.T @ (target - a @ x))
+        if slope.max() <= 1e-10 * max(1.0, np.abs(target).max()) * np.abs(a).max():
+            return float(np.linalg.norm(a @ x - target))
+        free[slope.argmax()] = True
+        while True:
+            s = np.zeros(a.shape[1])
+            s[free] = np.linalg.lstsq(a[:, free], target, rcond=None)[0]
+            if not (s[free] <= 1e-13).any():
+                break
+            low = free & (s <= 1e-13)
+            x += (x[low] / np.maximum(x[low] - s[low], 1e-300)).min() * (s - x)
+            free &= x > 1e-13
+        x = s
+
+
+def test_mixing_solver_is_least_squares():
+    rng = np.random.default_rng(21)
+    for n in range(50):
+        k, d = int(rng.integers(2, 7)), 40
+        p = rng.dirichlet(np.full(k, rng.choice([0.1, 1.0, 5.0])), d)
+        tokens = np.floor(np.exp(rng.normal(4, 2, d))) + 1
+        weights = rng.dirichlet(np.ones(k)) * (rng.random(k) < 0.7)
+        weights = weights / weights.sum() if weights.sum() else np.eye(k)[0]
+
+        def measure(spots):
+            out = []
+            for x in spots:
+                r = np.maximum(0, 1 - p @ np.array(x))
+                w = tokens / tokens.sum()
+                out.append(mixing.Sums(float((w * r * r).sum()), ((w * r) @ p).tolist(), ((p * (w * (r > 0))[:, None]).T @ p).tolist(), float(r.min())))
+            return out
+
+        _, target, end = mixing.solve(weights.tolist(), measure)
+        best = least_residual((p * (tokens / tokens.sum())[:, None]).T, np.array(target))
+        assert np.linalg.norm(np.array(end.reached) - target) <= best + 1e-6 * sum(target), n
+
+
 def test_mixing_projects(spark):
-    """Weights that need rates at zero still give nonnegative rates and the best reachable totals."""
-    soft = spark.createDataFrame([(10, 0.5, 0.5), (10, 0.9, 0.1), (10, 0.0, 1.0)], "tokens long, a double, b double")
+    """Documents that must go to zero, with the totals that are reached then."""
+    soft = spark.createDataFrame([(10, 0.5, 0.5), (10, 0.9, 0.1), (10, 0.0, 1.0), (0, 0.5, 0.5)], "tokens long, a double, b double")
     rate, target, reached = mixing.rates(soft, ["a", "b"], [1.0, 0.0])
-    assert soft.select(rate.alias("r")).where("r < 0").isEmpty() and reached[0] > 0
+    rows = soft.withColumn("r", rate).collect()
+    a = np.array([[5.0, 9.0, 0.0], [5.0, 1.0, 10.0]])
+    assert abs(np.linalg.norm(np.subtract(reached, target)) - least_residual(a, np.array(target))) < 1e-5
+    assert np.allclose(a @ [r.r for r in rows[:3]], reached) and rows[2].r == 0 and rows[3].r == 1
+
+
+def test_mixing_classifier_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    marked = mixing.quality_domains(labels)
+    known = mixing.measured(docs)
+    model = mixing.fit_domains(known, marked.where("doc_id % 3 > 0"))
+    held = mixing.with_posteriors(known, model).join(marked.where("doc_id % 3 = 0"), "doc_id").where("tokens > 0")
+    by = Counter((r.domain, r.p_good >= 0.5) for r in held.select("domain", "p_good").collect())
+    right = by["good", True] + by["poor", False]
+    assert right >= 0.95 * by.total() > by["good", True] + by["good", False]
+    assert by["poor", False] >= 0.85 * (by["poor", False] + by["poor", True])
 
 
 def test_modules_do_not_leak():
