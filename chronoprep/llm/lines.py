@@ -1,16 +1,19 @@
 """Operator 9: line deduplication by winnowing over line hashes, in DataFrame functions only.
 
-A window of ``run`` consecutive lines is one comparison unit, and so is a single line
-as long as a passage.  The smallest line hash of each window is a fingerprint, so two
-equal runs of that many lines are certain to share one.  Fingerprints carry the lines around them: those that occur once are dropped
-by a join on counts, the positions of the others are extended both ways to every
-window that chose them, and windows that also occur earlier are deleted.  Groups are
-reduced to a first position by partial aggregation, so no group meets in one task and
-no pairs are formed.
+A unit of comparison is a run of lines: ``run`` lines, or one or two that are as long as a
+passage together.  Winnowing keeps the line of the smallest hash of each unit as its
+fingerprint, so equal units are certain to share one, and lines that are nobody's
+smallest leave no row.  Fingerprints that occur at one place only go by a join on
+positions; the others are extended both ways over the lines around them to every unit that
+chose them, and units that also occur earlier are deleted; neighbouring units make up longer
+runs.  Groups are reduced to a first position by partial aggregation, so no group meets
+in one task and no pairs are formed.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,59 +30,49 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def windows(docs: DataFrame, run: int, passage: int) -> DataFrame:
-    """``key, mark, at, one, two, print, print2``: every window of ``run`` lines that are not blank, and long lines.
+def fingerprints(docs: DataFrame, run: int, passage: int) -> DataFrame:
+    """``print, print2, key, mark, j, units``: each line that is the smallest of a unit, and the units that chose it.
 
-    ``at`` are the places of its lines in the document, ``one`` and ``two`` its 128-bit
-    hash, ``print`` and ``print2`` that of its fingerprint line.
+    ``print`` and ``print2`` are the line's 128-bit hash, ``j`` its number among the lines
+    that are not blank.  A unit has the places ``at`` of its lines in the document, and
+    their 128-bit hash ``one``, ``two``.  Of equal lines in a unit the first is chosen.
     """
     numbered = F.transform(
         F.split("text", "\n", -1),
-        lambda x, i: F.struct(
-            F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b"), i.alias("i"), x.rlike(r"\S").alias("full"), (F.length(x) >= passage).alias("long")
-        ),
+        lambda x, i: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b"), i.alias("i"), x.rlike(r"\S").alias("full"), F.length(x).alias("n")),
     )
     lines = docs.select("key", "mark", F.filter(numbered, lambda x: x["full"]).alias("l"))
 
-    def window(j: Column) -> Column:
-        w = F.slice("l", j, run)
-        own = [F.element_at(w, k + 1) for k in range(run)]
-        least = F.array_min(F.transform(w, lambda x: F.struct(x["a"], x["b"])))
-        return F.struct(
-            F.transform(w, lambda x: x["i"]).alias("at"),
-            F.xxhash64(*[x["a"] for x in own]).alias("one"),
-            F.xxhash64(F.lit(7), *[x["b"] for x in own]).alias("two"),
-            least["a"].alias("print"),
-            least["b"].alias("print2"),
+    def unit(j: Column, before: int, size: int) -> Column:
+        """The unit of ``size`` lines with ``before`` of them ahead of line j, or null."""
+        own = [F.get("l", j + (k - before)) for k in range(size)]
+        fits = [F.lit(True), j >= before, j + (size - before) <= F.size("l")]
+        fits += [own[before]["a"] < x["a"] for x in own[:before]] + [own[before]["a"] <= x["a"] for x in own[before + 1 :]]
+        if size < run:
+            fits.append(sum((x["n"] for x in own[1:]), own[0]["n"]) >= passage)
+        whole = F.struct(
+            F.array(*[x["i"] for x in own]).alias("at"), F.xxhash64(*[x["a"] for x in own]).alias("one"), F.xxhash64(F.lit(7), *[x["b"] for x in own]).alias("two")
         )
+        return F.when(reduce(lambda x, y: x & y, fits), whole)
 
-    def single(x: Column) -> Column:
-        one, two = F.xxhash64(x["a"]), F.xxhash64(F.lit(7), x["b"])
-        return F.struct(F.array(x["i"]).alias("at"), one.alias("one"), two.alias("two"), x["a"].alias("print"), x["b"].alias("print2"))
+    def around(line: Column, j: Column) -> Column:
+        units = [unit(j, before, size) for size in range(1, run + 1) for before in range(size)]
+        return F.struct(line["a"].alias("print"), line["b"].alias("print2"), j.alias("j"), F.filter(F.array(*units), lambda u: u.isNotNull()).alias("units"))
 
-    starts = F.when(F.size("l") >= run, F.sequence(F.lit(1), F.size("l") - (run - 1))).otherwise(F.array().cast("array<int>"))
-    every = F.concat(F.transform(starts, window), F.transform(F.filter("l", lambda x: x["long"] & x["full"]), single))
-    return lines.select("key", "mark", F.explode(every).alias("w")).select("key", "mark", "w.*")
+    chosen = F.filter(F.transform("l", around), lambda x: F.size(x["units"]) > 0)
+    return lines.select("key", "mark", F.explode(chosen).alias("w")).select("key", "mark", "w.*")
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN, passage: int = PASSAGE) -> DataFrame:
     """``key, mark, gone``: for each document with deletions, the zero-based places of the lines to delete."""
-    every = stash(windows(docs, run, passage), "line-windows")
-    place = F.struct("key", "mark", F.element_at("at", 1).alias("start"))
-    prints = (
-        every.groupBy("print", "print2")
-        .agg(F.min(place).alias("low"), F.max(place).alias("high"))
-        .where(F.col("low") != F.col("high"))
-        .select("print", "print2")
-    )
+    every = stash(fingerprints(docs, run, passage), "line-fingerprints")
+    place = F.struct("key", "mark", "j")
+    prints = every.groupBy("print", "print2").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("print", "print2")
     seeds = every.join(stash(prints, "line-prints"), ["print", "print2"])
-    first = (
-        seeds.groupBy("one", "two")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(F.col("first") != F.col("last"))
-        .select("one", "two", "first")
-    )
-    later = every.join(stash(first, "line-first"), ["one", "two"]).where(place != F.col("first"))
+    units = stash(seeds.select("key", "mark", F.explode("units").alias("u")).select("key", "mark", "u.*"), "line-units")
+    start = F.struct("key", "mark", F.element_at("at", 1).alias("start"))
+    first = units.groupBy("one", "two").agg(F.min(start).alias("first"), F.max(start).alias("last")).where("first <> last").select("one", "two", "first")
+    later = units.join(stash(first, "line-first"), ["one", "two"]).where(start != F.col("first"))
     return later.select("key", "mark", F.explode("at").alias("i")).groupBy("key", "mark").agg(F.collect_set("i").alias("gone"))
 
 
@@ -88,8 +81,8 @@ def dedup_lines(docs: DataFrame, run: int = RUN, passage: int = PASSAGE) -> Data
 
     A line goes if it lies in a run of ``run`` or more consecutive lines (blank lines
     are skipped over and kept) that all occur, in that order, at an earlier place:
-    in a document with a smaller id, or earlier in the same one; or if it has ``passage``
-    or more characters and occurs earlier.  Null texts count as empty.  Null ids come first; rows
+    in a document with a smaller id, or earlier in the same one; a run of fewer lines does
+    if it has ``passage`` or more characters in all.  Null texts count as empty.  Null ids come first; rows
     with the same id are ordered by a hash of their text, and rows equal in both are
     one document with the same result.  Columns of the input are kept as they are;
     an input that has ``n_lines`` or ``n_removed`` gets them replaced.
@@ -130,8 +123,10 @@ w AS (SELECT doc_id, n, line, i,
   lead(line, 1) OVER d AS line2, lead(line, 2) OVER d AS line3, lead(i, 1) OVER d AS i2, lead(i, 2) OVER d AS i3
   FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY n)),
 g AS (SELECT *, row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, n) AS seen FROM w WHERE line3 IS NOT NULL),
-h AS (SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, n) AS seen FROM f WHERE length(line) >= 250),
-gone AS (SELECT doc_id, unnest([i, i2, i3]) AS i FROM g WHERE seen > 1 UNION SELECT doc_id, i FROM h WHERE seen > 1),
+h AS (SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, n) AS seen FROM w WHERE length(line) + length(line2) >= 250),
+o AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, n) AS seen FROM w WHERE length(line) >= 250),
+gone AS (SELECT doc_id, unnest([i, i2, i3]) AS i FROM g WHERE seen > 1 UNION SELECT doc_id, unnest([i, i2]) FROM h WHERE seen > 1
+  UNION SELECT doc_id, i FROM o WHERE seen > 1),
 k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text FROM l LEFT JOIN gone USING (doc_id, i)
   WHERE gone.i IS NULL GROUP BY l.doc_id),
 c AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)

@@ -51,6 +51,13 @@ def test_lines(docs, nothing):
     assert {r["_key"] for r in out.collect()} == {"q"}
 
 
+def test_lines_of_two_make_a_passage(spark):
+    one, two = "a" * 130, "b" * 130
+    rows = [(1, f"{one}\n\n{two}\nc"), (2, f"x\n{one}\n{two}"), (3, f"{two}\n{one}"), (4, f"{one}\nshort\n{two}")]
+    out = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: "x", 3: rows[2][1], 4: rows[3][1]}
+
+
 def test_near_duplicates(docs, nothing):
     assert neardup.near_duplicates(nothing).count() == 0
     out = {r.doc_id: r for r in neardup.near_duplicates(docs).collect()}

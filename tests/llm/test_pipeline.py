@@ -1,8 +1,10 @@
 """run() against its stages applied by brute force to the same rows."""
 
+import hashlib
+
 import corpus_pipeline
-from chronoprep.llm import mixing, neardup, toxicity
-from tests.llm.test_queries import SMALL
+from chronoprep.llm import mixing, toxicity
+from tests.llm.test_queries import SMALL, brute_classes
 
 
 def test_pipeline(spark):
@@ -20,33 +22,17 @@ def test_pipeline(spark):
             if w in seen:
                 gone |= set(full[k : k + 3])
             seen.add(w)
-        for i in full:
-            if len(every[i]) >= 250:
-                if every[i] in seen:
-                    gone.add(i)
-                seen.add(every[i])
+        for size in (1, 2):
+            for k in range(len(full) - size + 1):
+                w = tuple(every[i] for i in full[k : k + size])
+                if sum(map(len, w)) >= 250:
+                    if w in seen:
+                        gone |= set(full[k : k + size])
+                    seen.add(w)
         text = "\n".join(x for i, x in enumerate(every) if i not in gone)
         if not gone or text.strip():
             cleaned[r.doc_id] = text
-    memo, bags = {}, {}
-    for i, t in cleaned.items():
-        _, item, weight = neardup.shingles([t], memo)
-        bags[i] = dict(zip(item.tolist(), weight.tolist()))
-    root = {i: i for i in cleaned}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i in cleaned:
-        for j in cleaned:
-            if j < i and bags[i].keys() & bags[j].keys():
-                both = sum(min(w, bags[j].get(h, 0)) for h, w in bags[i].items())
-                if both >= 0.8 * (sum(bags[i].values()) + sum(bags[j].values()) - both):
-                    a, b = find(i), find(j)
-                    root[max(a, b)] = min(a, b)
-    kept = {i for i in cleaned if find(i) == i}
+    kept = {i for i, c in brute_classes(cleaned).items() if i == c}
     left = spark.createDataFrame([(i, cleaned[i]) for i in sorted(kept)], "doc_id long, text string")
     copies = {r.doc_id: r.copies for r in mixing.mix_domains(left, mixing.quality_domains(labels), mixing.WEIGHTS).collect()}
     import public_tokenizers
@@ -54,8 +40,10 @@ def test_pipeline(spark):
 
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = sorted((i, tuple(library.encode(cleaned[i], add_special_tokens=False).ids)) for i in kept for _ in range(copies[i]))
-    got = sorted((r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, SMALL).collect())
-    assert got == want
+    out = corpus_pipeline.run(spark, SMALL).collect()
+    assert sorted((r.doc_id, tuple(r.ids)) for r in out) == want
+    sha = lambda ids: hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert all(r.decoded_sha256 == sha(r.ids) for r in out)
 
 
 def test_stages_keep_columns_and_bear_nothing(spark):
