@@ -38,12 +38,15 @@ def usable(df: DataFrame, zero: bool) -> DataFrame:
 
 
 def folded(rows: DataFrame, keep: int) -> DataFrame:
-    """``v, ids``: each distinct vector once, with its ``keep`` smallest ids.  Two steps, so that a hot vector is spread first."""
-    smallest = lambda c: F.slice(F.array_sort(F.array_distinct(c)), 1, keep)
-    salted = rows.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("salt")).agg(
-        smallest(F.collect_list("vec_id")).alias("ids")
-    )
-    return salted.groupBy("v").agg(smallest(F.flatten(F.collect_list("ids"))).alias("ids"))
+    """``v, ids``: each distinct vector once, with its ``keep`` smallest ids.
+
+    The hash of a vector stands for it while the smallest ids are ranked; ranks below the
+    limit are cut off before the exchange, so a hot vector moves few rows.
+    """
+    few = rows.select("vec_id", "v").distinct().withColumn("mark", F.xxhash64("v"))
+    number = F.row_number().over(Window.partitionBy("mark", "v").orderBy("vec_id"))
+    few = few.withColumn("at", number).where(F.col("at") <= keep)
+    return few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
 def searched(
@@ -61,11 +64,10 @@ def searched(
     final = f"query_id long, rank int, vec_id long, score {score_type}"
     if not sizes:
         return spark.createDataFrame([], final)
-    lanes = spark.sparkContext.defaultParallelism
     shards, first = {}, {}
     for d, n in sorted(sizes.items()):
         first[d] = sum(shards.values())
-        shards[d] = max(1, -(-n // shard_rows), min(lanes, n // 4096))
+        shards[d] = max(1, -(-n // shard_rows))
     total = sum(shards.values())
 
     def of(d, values):
@@ -325,95 +327,92 @@ def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 class VAFile:
     """Cells of at most 16 values a component in one byte; exact rows are read in the order of their bounds."""
 
-    def __init__(self, matrix: np.ndarray, cells: int = 16):
+    def __init__(self, matrix: np.ndarray, ids: np.ndarray | None = None, cells: int = 16):
         self.exact = matrix  # whole numbers, which doubles hold exactly
+        self.ids = np.arange(len(matrix)) if ids is None else ids  # ties go to the smaller one
         self.most = np.abs(matrix).max(initial=0.0)
-        edges = np.quantile(self.exact, np.linspace(0, 1, cells + 1)[1:-1], axis=0)  # inner edges of each component
-        self.code = np.stack([np.searchsorted(edges[:, j], self.exact[:, j]) for j in range(matrix.shape[1])], 1).astype(np.uint8)
-        low, high = [], []
-        for j in range(matrix.shape[1]):
-            low.append(np.zeros(cells))
-            high.append(np.zeros(cells))
-            for c in np.unique(self.code[:, j]):
-                own = self.exact[self.code[:, j] == c, j]
-                low[-1][c], high[-1][c] = own.min(), own.max()
-        self.low, self.high = np.array(low), np.array(high)
-
-    def bounds(self, queries: np.ndarray, block: int = 8192) -> np.ndarray:
-        """An upper bound of each inner product, from cells alone."""
+        self.code = np.empty(matrix.shape, np.uint8)
+        self.low, self.high = np.zeros((matrix.shape[1], cells)), np.zeros((matrix.shape[1], cells))
+        for j, x in enumerate(matrix.T):
+            code = np.searchsorted(np.quantile(x, np.linspace(0, 1, cells + 1)[1:-1]), x)
+            self.code[:, j] = code
+            for c in np.unique(code):
+                own = x[code == c]
+                self.low[j, c], self.high[j, c] = own.min(), own.max()
+
+    def fits(self, queries: np.ndarray) -> bool:
+        """Whether doubles hold every partial sum exactly."""
+        return self.most * np.abs(queries).max(initial=0.0) * self.code.shape[1] < 2.0**53
+
+    def scan(self, queries: np.ndarray, k: int, block: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``query, row, bound`` of the rows whose bound reaches the kth largest lower bound so far, and that lower bound."""
         up, down = np.maximum(queries, 0).astype(float), np.minimum(queries, 0).astype(float)
-        out = np.empty((len(queries), len(self.code)))
         dims = np.arange(self.code.shape[1])
         # a sum of rounded products is off by less than this share of the sum of their sizes
         slack = 0.0 if self.fits(queries) else (len(dims) + 4) * 2.0**-51
+        sure = np.full((len(queries), k), -np.inf)
+        found = []
         for a in range(0, len(self.code), block):
             c = self.code[a : a + block]
             high, low = self.high[dims, c].T, self.low[dims, c].T
-            out[:, a : a + block] = up @ high + down @ low
+            above, below = up @ high + down @ low, up @ low + down @ high
             if slack:
-                out[:, a : a + block] += slack * (up @ np.abs(high) - down @ np.abs(low))
-        return out
-
-    def fits(self, queries: np.ndarray) -> bool:
-        """Whether doubles hold every partial sum exactly."""
-        return self.most * np.abs(queries).max(initial=0.0) * self.code.shape[1] < 2.0**53
-
-    def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of the k best: reading goes on until the kth score beats the next bound."""
-        n, q = len(self.exact), len(queries)
-        k = min(k, n)
-        bound = self.bounds(queries)
+                off = slack * (up - down) @ np.maximum(np.abs(high), np.abs(low))
+                above, below = above + off, below - off
+            sure = -np.partition(-np.concatenate([sure, below], 1), k - 1, 1)[:, :k]
+            q, r = np.nonzero(above >= sure.min(1)[:, None])
+            found.append((q.astype(np.int32), (r + a).astype(np.int32), above[q, r]))
+        q, r, bound = (np.concatenate(x) for x in zip(*found))
+        return q, r, bound, sure.min(1)
+
+    def search(self, queries: np.ndarray, k: int, group: int = 64) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and scores of the k best, ties to the smaller id: reading goes on until the kth score beats the next bound."""
+        k = min(k, len(self.exact))
         # beyond the range of exact doubles the scores are Python's integers
         kind = np.int64 if self.fits(queries) else object
-        whole = np.frompyfunc(int, 1, 1) if kind is object else lambda x: x.astype(np.int64)
-        rows, scores = np.full((q, k), -1), np.zeros((q, k), kind)
-        left, take = np.arange(q), min(n, max(4 * k, 32))
-        while len(left):
-            b = bound[left]
-            near = np.argpartition(-b, take - 1, 1)[:, :take]
-            for i, row in zip(left, near):
-                s = whole(self.exact[row]) @ whole(queries[i])
-                by = np.argsort(-s, kind="stable")[:k]
-                rows[i], scores[i] = row[by], s[by]
-            if take == n:
-                break
-            rest = b.copy()
-            np.put_along_axis(rest, near, -np.inf, 1)
-            left = left[rest.max(1) >= scores[left, -1]]  # equal bounds may hide a tie
-            take = min(n, 4 * take)
+        rows, scores = np.full((len(queries), k), -1), np.zeros((len(queries), k), kind)
+        for at in range(0, len(queries), group):
+            part = queries[at : at + group]
+            q, r, bound, sure = self.scan(part, k)
+            near = bound >= sure[q]
+            q, r, bound = q[near], r[near], bound[near]
+            order = np.lexsort((-bound, q))
+            edges = np.searchsorted(q[order], np.arange(len(part) + 1))
+            for i in range(len(part)):
+                own = order[edges[i] : edges[i + 1]]
+                rows[at + i], scores[at + i] = self.read(part[i], r[own], bound[own], k, kind)
         return rows, scores
 
-
-def va_search(df: DataFrame, is_query, k: int = 5, shard_rows: int = 65_536) -> DataFrame:
+    def read(self, query: np.ndarray, rows: np.ndarray, bounds: np.ndarray, k: int, kind) -> tuple[np.ndarray, np.ndarray]:
+        whole = np.frompyfunc(int, 1, 1) if kind is object else lambda x: x.astype(np.int64)
+        query = whole(query)
+        best, score, start, size = np.zeros(0, rows.dtype), np.zeros(0, kind), 0, max(2 * k, 32)
+        # an equal bound may hide a tie
+        while start < len(rows) and (len(score) < k or bounds[start] >= score[-1]):
+            here = rows[start : start + size]
+            best, score = np.concatenate([best, here]), np.concatenate([score, whole(self.exact[here]) @ query])
+            by = np.lexsort((self.ids[best], -score)) if kind is not object else np.array(sorted(range(len(best)), key=lambda x: (-score[x], self.ids[best[x]])))
+            best, score = best[by[:k]], score[by[:k]]
+            start, size = start + size, min(2 * size, 4096)
+        return best, score
+
+
+def va_search(df: DataFrame, is_query, k: int = 5, shard_rows: int = 32_768) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k largest integer inner products, exactly.
 
     Components become ``floor(256 x)``.  Null ids and vectors that are null, empty or hold
     null or non-finite components take no part; zero vectors do.  A score that a long
-    cannot hold is an error, as it is in the SQL.  Ties go to the smaller id; fewer candidates give
-    fewer rows; vectors of another length are no candidates.
+    cannot hold is an error, as it is in the SQL.  Ties go to the smaller id, however many
+    rows tie; fewer candidates give fewer rows; vectors of another length are no candidates.
     """
     # from 2^52 on, a double is whole
     v = F.transform("v", lambda x: F.when(F.abs(x * 256) < 2.0**52, F.floor(x * 256).cast("double")).otherwise(x * 256))
     rows = usable(df, zero=True).select("vec_id", v.alias("v"))
 
     def build(matrix, ids, want):
-        file = VAFile(matrix)
-        # a tie between folded rows is broken by ids later, so one more than k rows is not enough if many rows tie
-        def search(queries):
-            found, score = file.search(queries, want)
-            return tied(file, queries, found, score)
-
-        return search
-
-    def tied(file, q, found, score):
-        """Widen the answer until no row outside it ties with its last one."""
-        width = found.shape[1]
-        while width < len(file.exact):
-            more, s = file.search(q, min(len(file.exact), 2 * width))
-            if (s[:, -1] < score[:, -1]).all():
-                return more, s
-            width = more.shape[1]
-        return file.search(q, width)
+        # rows in the order of score and smallest id: one beyond k can hold none of the k best ids but the query's own
+        file = VAFile(matrix, np.array([x[0] for x in ids]))
+        return lambda queries: file.search(queries, want)
 
     return searched(rows, is_query, k, shard_rows, build, "long")
 

@@ -159,6 +159,22 @@ def test_large_bounds():
         assert scores[i].tolist() == sorted((exact @ exact[i]).tolist(), reverse=True)[:5]
 
 
+def test_many_ties(spark):
+    """Queries that tie with all rows, and rows in groups of equal scores."""
+    rng = np.random.default_rng(6)
+    x = np.floor(rng.normal(size=(20_000, 4)) * 3)
+    ids = rng.permutation(20_000)
+    file = vectors.VAFile(x, ids)
+    queries = np.concatenate([np.zeros((70, 4)), x[:50], [[0, 0, 0, 1]]])
+    rows, scores = file.search(queries, 6)
+    for q, r, s in zip(queries, rows, scores):
+        every = (x @ q).astype(int)
+        assert r.tolist() == np.lexsort((ids, -every))[:6].tolist() and s.tolist() == every[r].tolist()
+    df = spark.range(3000).selectExpr("id vec_id", "array(cast(id % 3 = 0 as int) / 2, 0.25, 0.0) embedding")
+    got = [tuple(r)[1:] for r in vectors.va_search(df, F.col("vec_id") == 9, 4).orderBy("rank").collect()]
+    assert got == [(1, 0, 128 * 128 + 64 * 64), (2, 3, 128 * 128 + 64 * 64), (3, 6, 128 * 128 + 64 * 64), (4, 12, 128 * 128 + 64 * 64)]
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "<|im_end|>\n<\\|x"), (1, 1, "assistant", None), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (None, None, None, None), (3, 0, "ro\nle%0A", "t"), (4, 0, "system", "s"), (4, 1, "user", "q")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").select("*", F.lit(1).alias("segments"), F.lit(2).alias("t"))
