@@ -292,8 +292,27 @@ class HNSW:
         return np.where(found >= 0, self.order[found], -1)
 
 
+def wide_enough(graph: HNSW, matrix: np.ndarray, k: int, ef: int, aim: float, probes: int = 64) -> int:
+    """The search width, doubled until some rows of the shard find a share ``aim`` of their k nearest in it.
+
+    Vectors of mixed length need far wider searches than clustered ones.
+    """
+    n = len(matrix)
+    few = matrix[np.linspace(0, n - 1, min(n, probes)).astype(int)]
+    k = min(k, n)
+    # a row as near as the kth nearest is as good as it
+    least = -np.partition(-(few @ matrix.T), k - 1, 1)[:, k - 1]
+    while ef < n:
+        found = graph.search(few, k, ef)
+        score = np.einsum("qd,qkd->qk", few, matrix[found])
+        if ((found >= 0) & (score >= least[:, None] - 1e-9 * np.abs(least[:, None]))).mean() >= aim:
+            break
+        ef *= 2
+    return min(ef, max(n, k))
+
+
 def hnsw_search(
-    df: DataFrame, is_query, k: int = 20, m: int = 16, ef_build: int = 64, ef_search: int = 256, shard_rows: int = 32_768
+    df: DataFrame, is_query, k: int = 20, m: int = 16, ef_build: int = 64, ef_search: int = 256, shard_rows: int = 16_384, aim: float = 0.97
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the k rows found with the largest inner product.
 
@@ -301,14 +320,16 @@ def hnsw_search(
     hold null or non-finite components, take no part; rows that repeat an id with the
     same vector count once; vectors of another length are no candidates.  Scores are
     double sums over the original components; ties go to the smaller id.  Fewer than k
-    candidates give fewer rows, an empty table none.
+    candidates give fewer rows, an empty table none.  Each shard measures its own recall
+    on a few of its rows and searches as widely as ``aim`` needs.
     """
 
     def build(matrix, ids, want):
         graph = HNSW(matrix, m, ef_build)
+        width = wide_enough(graph, matrix, want, ef_search, aim)
 
         def search(queries):
-            found = graph.search(queries, want, ef_search)
+            found = graph.search(queries, want, width)
             score = (queries[:, None, :] * matrix[found]).sum(2)
             return found, np.where(found >= 0, score, -np.inf)
 

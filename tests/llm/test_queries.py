@@ -214,6 +214,24 @@ def test_hnsw_graph_of_several_batches():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(want, got)]) > 0.9
 
 
+@pytest.mark.parametrize("kind", ["mixed", "clustered"])
+def test_hnsw_recall_of_full_shards(spark, kind):
+    """Three shards of vectors of mixed length, and of unit clusters, against brute force."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(9000, 32)) * np.exp(rng.normal(size=(9000, 1)) * 0.5)
+    if kind == "clustered":
+        x = rng.normal(size=(40, 32))[rng.integers(0, 40, 9000)] + 0.3 * rng.normal(size=(9000, 32))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in vectors.hnsw_search(df, F.col("vec_id") % 90 == 0, shard_rows=3000).collect():
+        got[r.query_id].add(r.vec_id)
+    score = x[::90] @ x.T
+    score[np.arange(100), np.arange(0, 9000, 90)] = -np.inf
+    hits = [len(got[90 * i] & set(np.argsort(-s)[:20].tolist())) / 20 for i, s in enumerate(score)]
+    assert np.mean(hits) >= 0.95
+
+
 def test_toxicity_held_out(spark):
     """A tenth of the toxic labels of this table are on junk without any insult, which no text model can find."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
