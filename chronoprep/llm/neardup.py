@@ -41,6 +41,7 @@ ALIKE = 75
 SLICE_CHARS = 400_000
 BLOCK = 2048  # texts of a bucket that one group of comparisons holds
 PAIRS = 1 << 17  # signature comparisons at once
+EDGES = 1 << 20  # edges whose components one task finds
 CELL = 2000  # texts to a side of a cell in which pairs are verified
 
 U = np.uint64
@@ -305,7 +306,7 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     root = components(found)
     now = with_roots(member.select("band", "rep"), root)
     discard(sizes, degree, lead)
-    take = 8
+    take = 64
     while not now.isEmpty():
         across = stash(crossing(now, signed, take), "neardup-crossing")
         pairs = stash(across.select("leader", "rep").distinct().join(done, ["leader", "rep"], "left_anti"), "neardup-pairs")
@@ -313,7 +314,7 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
         root = components(found)
         open_ = across.where("more").select("band").distinct()
         now = with_roots(now.select("band", "rep").join(open_, "band", "left_semi"), root)
-        take *= 64
+        take *= 1024
     discard(texts, signed, member)
     return found
 
@@ -321,11 +322,9 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
 def with_roots(member: DataFrame, root: DataFrame) -> DataFrame:
     """``band, rep, root, n, big`` of the buckets that hold several classes: texts in the bucket, and its largest class."""
     known = stash(member.join(root, "rep", "left").select("band", "rep", F.coalesce("root", "rep").alias("root")), "neardup-rooted")
-    mixed = known.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    mixed = stash(known.join(stash(mixed, "neardup-mixed"), "band"), "neardup-mixed-members")
-    sizes = mixed.groupBy("band", "root").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root"))["root"].alias("big"))
-    return stash(mixed.join(stash(sizes, "neardup-mixed-sizes"), "band"), "neardup-now")
+    sizes = known.groupBy("band", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("band").agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.max(F.struct("n", "root"))["root"].alias("big"))
+    return stash(known.join(stash(sizes.where("roots > 1").drop("roots"), "neardup-mixed"), "band"), "neardup-now")
 
 
 def crossing(now: DataFrame, signed: DataFrame, take: int) -> DataFrame:
@@ -417,19 +416,21 @@ def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """``rep, root``: the smallest member of each connected component, for all other ends of ``leader, rep`` edges.
 
-    Each round deals the edges by an end and replaces every partition's by its own
+    Each round deals the edges by an end, so many to a partition, and replaces every partition's by its own
     components, which holds at most one row for a member and partition; then each root
-    that is below another one in some partition passes that on.  It is over when every
-    member has one root that is nobody's member.
+    that is below another one in some partition passes that on.  It is over when there
+    is one partition, or when every member has one root that is nobody's member.
     """
     forest = edges.select("rep", F.col("leader").alias("root"))
     while True:
-        forest = stash(forest.repartition("rep").mapInArrow(contract, "rep long, root long"), "component-forest")
+        parts = max(1, -(-forest.count() // EDGES))
+        dealt = forest.repartition(parts, "rep") if parts > 1 else forest.coalesce(1)
+        forest = stash(dealt.mapInArrow(contract, "rep long, root long"), "component-forest")
         places = forest.select("rep").unionAll(forest.select(F.col("root").alias("rep")).distinct())
-        if places.groupBy("rep").count().where("count > 1").isEmpty():
+        if parts == 1 or places.groupBy("rep").count().where("count > 1").isEmpty():
             return forest
         above = forest.select(F.col("rep").alias("root"), F.col("root").alias("top"))
-        forest = forest.join(above, "root", "left").select("rep", F.coalesce("top", "root").alias("root")).unionAll(forest).distinct()
+        forest = stash(forest.join(above, "root", "left").select("rep", F.coalesce("top", "root").alias("root")).unionAll(forest).distinct(), "component-edges")
 
 
 def text_hash(text: str = "text") -> tuple[Column, Column]:

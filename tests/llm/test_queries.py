@@ -128,7 +128,9 @@ def test_near_duplicates_in_stars(spark):
     assert classes(spark, rows) == brute_classes(dict(rows))
 
 
-def test_components_of_paths_and_trees(spark):
+def test_components_of_paths_and_trees(spark, monkeypatch):
+    """In partitions of some hundred edges, so that components lie across them."""
+    monkeypatch.setattr(neardup, "EDGES", 300)
     rng = np.random.default_rng(13)
     name = rng.permutation(2000) * 7 - 5000
     edges = [(i, i + 1) for i in range(0, 500)] + [(int(rng.integers(600, i)), i) for i in range(601, 1300)] + [(1300, i) for i in range(1301, 2000)]
