@@ -20,10 +20,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", choices=["csv", "parquet", "json"])
     p.add_argument("--split-ratios", nargs=6, type=float)
     p.add_argument("--split-method", choices=["temporal", "random", "sequential", "stratified"])
-    p.add_argument("--normalization", choices=["zscore", "none"])
+    p.add_argument("--normalization", choices=["zscore", "minmax", "robust", "none"])
     p.add_argument("--timestamp-column")
     p.add_argument("--order-by", nargs="+")
     p.add_argument("--set", nargs=2, action="append", default=[], metavar=("KEY", "VALUE"))
+    p.add_argument("--feature-plugins", nargs="+", metavar="MODULE:CLASS")
+    p.add_argument("--postprocessing-plugins", nargs="+", metavar="MODULE:CLASS")
     p.add_argument("--save-config")
     p.add_argument("--validate-only", action="store_true")
     p.add_argument("--dry-run", action="store_true")
@@ -37,7 +39,7 @@ def configuration(a: argparse.Namespace) -> Configuration:
     c.add_environment()
     if a.split_ratios:
         c.set("data_splitting.ratios", dict(zip(("d1", "d2", "d3", "d4", "d5", "d6"), a.split_ratios)))
-    for key, value in (("data_splitting.method", a.split_method), ("normalization.method", a.normalization), ("export.format", a.format), ("export.path", a.output), ("data_handling.timestamp_column", a.timestamp_column)):
+    for key, value in (("data_splitting.method", a.split_method), ("normalization.method", a.normalization), ("export.format", a.format), ("export.path", a.output), ("data_handling.timestamp_column", a.timestamp_column), ("feature_engineering.plugins", a.feature_plugins), ("postprocessing.plugins", a.postprocessing_plugins)):
         if value is not None:
             c.set(key, value)
     for key, value in a.set:

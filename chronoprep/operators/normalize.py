@@ -137,20 +137,23 @@ class WholeTableNormalizer:
         self.stats = {c: {k: r[f"{k}_{i}"] for k in kinds[self.method]} for i, c in enumerate(names)}
         return self
 
+    def formula(self, c: str) -> Column:
+        """The normalised column; null where the column is constant."""
+        x, s, (low, high) = F.col(f"`{c}`"), self.stats[c], self.range
+        if self.method == "z-score":
+            return F.try_divide(x - F.lit(s["mean"]), F.lit(s["std"]))
+        if self.method == "min-max":
+            return F.try_divide(x - F.lit(s["min"]), F.lit(s["max"]) - F.lit(s["min"]) + F.lit(self.epsilon)) * (high - low) + low
+        if self.method == "robust":
+            return F.try_divide(x - F.lit(s["median"]), F.lit(s["q3"]) - F.lit(s["q1"]))
+        return x
+
     def transform(self, df: DataFrame) -> DataFrame:
-        low, high = self.range
-
-        def formula(c: str) -> Column:
-            x, s = F.col(f"`{c}`"), self.stats[c]
-            if self.method == "z-score":
-                return F.try_divide(x - F.lit(s["mean"]), F.lit(s["std"]))
-            if self.method == "min-max":
-                return F.try_divide(x - F.lit(s["min"]), F.lit(s["max"]) - F.lit(s["min"]) + F.lit(self.epsilon)) * (high - low) + low
-            if self.method == "robust":
-                return F.try_divide(x - F.lit(s["median"]), F.lit(s["q3"]) - F.lit(s["q1"]))
-            return x
-
-        return df.select(*[formula(c).alias(c) for c in self.stats if c in df.columns])
+        return df.select(*[self.formula(c).alias(c) for c in self.stats if c in df.columns])
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """All columns, the known ones normalised."""
+        return project(df, {c: self.formula(c) for c in self.stats})
 
     def debug_info(self, pips: float = 1.0) -> dict[str, float]:
         """What some pips are worth in each column's normalised units; constant columns are left out."""

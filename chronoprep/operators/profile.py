@@ -69,8 +69,14 @@ def types(df: DataFrame) -> dict[str, int]:
 
 
 def checksum(df: DataFrame) -> DataFrame:
-    """``rows, checksum``: order does not matter, so partitions add up on their own."""
-    return df.agg(F.count("*").alias("rows"), F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0)).alias("checksum"))
+    """``rows, checksum``: row hashes, to which nulls and their places count, added up modulo 2^64.
+
+    Order does not matter, so partitions add up on their own; repeated rows do count.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    row = F.xxhash64(*columns, *[c.isNull() for c in columns]).cast("decimal(20, 0)")
+    total = F.coalesce(F.sum(row), F.lit(0)).cast("decimal(38, 0)")
+    return df.agg(F.count("*").alias("rows"), F.pmod(total, F.lit(str(2**64)).cast("decimal(38, 0)")).cast("decimal(20, 0)").alias("checksum"))
 
 
 @dataclass

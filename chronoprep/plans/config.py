@@ -9,12 +9,12 @@ from copy import deepcopy
 DEFAULTS = {
     "data_handling": {"supported_formats": ["csv", "parquet", "json"], "timestamp_column": "timestamp"},
     "data_splitting": {"ratios": {"d1": 0.4, "d2": 0.2, "d3": 0.2, "d4": 0.1, "d5": 0.05, "d6": 0.05}, "method": "temporal", "random_seed": None},
-    "normalization": {"method": "zscore", "training_datasets": ["d1", "d2"], "exclude": []},
+    "normalization": {"method": "zscore", "training_datasets": ["d1", "d2"], "exclude": [], "range": [-1.0, 1.0]},
     "feature_engineering": {"plugins": []},
     "postprocessing": {"plugins": []},
     "export": {"format": "csv", "path": "./output", "export_normalization_params": True},
 }
-PREFIX = "PREPROCESSOR_"
+PREFIX = "CHRONOPREP_"
 
 
 def merged(base: dict, more: dict) -> dict:
@@ -41,7 +41,7 @@ class Configuration:
             return self.add(2, path, json.load(f))
 
     def add_environment(self, env: dict[str, str] | None = None) -> Configuration:
-        """``PREPROCESSOR_SECTION__KEY`` (or one underscore for each level) as JSON or text."""
+        """``CHRONOPREP_SECTION__KEY`` (or one underscore for each level) as JSON or text."""
         for name, text in (os.environ if env is None else env).items():
             if name.startswith(PREFIX):
                 path = name[len(PREFIX) :].lower()

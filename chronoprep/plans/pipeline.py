@@ -13,7 +13,7 @@ from ..operators import split as S
 from ..operators.position import pinned
 from ..sources import readers, writers
 from .config import Configuration
-from .plugins import Plugin, PluginPipeline
+from .plugins import Plugin, PluginPipeline, from_spec
 
 
 class Preparation:
@@ -23,8 +23,10 @@ class Preparation:
         self.spark, self.config = spark, config or Configuration()
         if wrong := self.config.errors():
             raise ValueError("; ".join(wrong))
-        self.features, self.post = PluginPipeline(features), PluginPipeline(post)
-        self.parameters: N.NormalizationParameters | None = None
+        v = self.config.values
+        named = lambda given, section: [*(given or []), *map(from_spec, v[section]["plugins"])]
+        self.features, self.post = PluginPipeline(named(features, "feature_engineering")), PluginPipeline(named(post, "postprocessing"))
+        self.parameters: N.NormalizationParameters | N.WholeTableNormalizer | None = None
         self.data: DataFrame | None = None
         self.result: DataFrame | None = None
         self.history: list[dict] = []
@@ -70,24 +72,44 @@ class Preparation:
         )
         if wrong := S.validate(df, setup):
             raise ValueError("; ".join(wrong))
-        df = pinned(S.split_six(df, setup, order_by or [ts]))
+        # without an order given, the other columns break ties, so that the split can be repeated
+        order_by = order_by or [ts, *(c for c, t in df.dtypes if c != ts and not t.startswith(("map", "variant")))]
+        df = pinned(S.split_six(df, setup, order_by))
         norm = c["normalization"]
         if norm["method"] != "none" and norm["training_datasets"]:
-            if self.parameters is None:
-                self.parameters = N.fit_zscore(S.training(df, tuple(norm["training_datasets"])), tuple(norm["exclude"]), tuple(norm["training_datasets"]))
-            df = N.apply_zscore(df, self.parameters)
-        self.history.append({"stage": "normalize", "features": self.parameters.features if self.parameters else []})
+            sources = tuple(norm["training_datasets"])
+            if norm["method"] == "zscore":
+                if self.parameters is None:
+                    self.parameters = N.fit_zscore(S.training(df, sources), tuple(norm["exclude"]), sources)
+                df = N.apply_zscore(df, self.parameters)
+            else:
+                if self.parameters is None:
+                    kind = {"minmax": "min-max", "robust": "robust"}[norm["method"]]
+                    self.parameters = N.WholeTableNormalizer(kind, tuple(norm["range"])).fit(S.training(df, sources).drop(*norm["exclude"]))
+                df = self.parameters.apply(df)
+        self.history.append({"stage": "normalize", "method": norm["method"], "features": self.normalized()})
         self.result, report = self.post.process(df)
         self.history.append({"stage": "postprocess", "report": report})
         return self.result
 
-    def export(self, folder: str | None = None, fmt: str | None = None) -> str:
+    def normalized(self) -> list[str]:
+        p = self.parameters
+        return [] if p is None else p.features if isinstance(p, N.NormalizationParameters) else list(p.stats)
+
+    def export(self, folder: str | None = None, fmt: str | None = None, include_metadata: bool = True) -> str | bool:
+        """Write the datasets and what they were made with; False before there is a result."""
+        if self.result is None:
+            return False
         e = self.config.values["export"]
         folder, fmt = folder or e["path"], fmt or e["format"]
         writers.export_splits(self.result, os.path.join(folder, "datasets"), fmt)
         if e["export_normalization_params"] and self.parameters:
-            self.parameters.save(os.path.join(folder, "means.json"), os.path.join(folder, "stds.json"))
-        writers.export_metadata(self.result, folder, self.config.values, self.history)
+            if isinstance(self.parameters, N.NormalizationParameters):
+                self.parameters.save(os.path.join(folder, "means.json"), os.path.join(folder, "stds.json"))
+            else:
+                self.parameters.save(os.path.join(folder, "normalization.json"))
+        if include_metadata:
+            writers.export_metadata(self.result, folder, self.config.values, self.history)
         return folder
 
     def status(self) -> dict:

@@ -122,6 +122,16 @@ class PluginPipeline:
         return df, report
 
 
+def from_spec(spec: str | dict) -> Plugin:
+    """A plugin that a configuration names: ``module:Class``, or ``{"class": "module:Class", "config": {...}}``."""
+    spec = {"class": spec} if isinstance(spec, str) else spec
+    module, _, name = spec["class"].partition(":")
+    made = getattr(importlib.import_module(module), name)(spec.get("config"))
+    if not isinstance(made, Plugin):
+        raise TypeError(f"{spec['class']} is no plugin")
+    return made
+
+
 class Registry:
     """Plugins by name, from classes or modules, in the order of their dependencies."""
 

@@ -191,6 +191,32 @@ def full_preparation(spark, d):
     return rounded(out, 6, "value").select("event_id", "split", "value")
 
 
+def prepared(spark, d, method: str, **more) -> DataFrame:
+    c = Configuration().set("data_handling.timestamp_column", "ts").set("normalization.exclude", ["event_id"]).set("normalization.method", method)
+    for key, value in more.items():
+        c.set(key.replace("__", "."), value)
+    return Preparation(spark, c).use(t(spark, d, "events").select(*ORDER, "value")).process(ORDER)
+
+
+@query(f"WITH {SPLIT}, f AS (SELECT min(value) AS a, max(value) AS b FROM s WHERE split IN ('d1', 'd2')) SELECT event_id, split, round((value - a) / (b - a) * 2 - 1, 6) AS value FROM s, f")
+def prep_minmax(spark, d):
+    """The whole pipeline, scaled by the extremes of the training datasets."""
+    return rounded(prepared(spark, d, "minmax"), 6, "value").select("event_id", "split", "value")
+
+
+@query(f"WITH {SPLIT}, f AS (SELECT quantile_cont(value, 0.5) AS m, quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM s WHERE split IN ('d1', 'd2')) SELECT event_id, split, round((value - m) / (b - a), 6) AS value FROM s, f")
+def prep_robust(spark, d):
+    """The same by median and quartiles."""
+    return rounded(prepared(spark, d, "robust"), 6, "value").select("event_id", "split", "value")
+
+
+@query(f"WITH {SPLIT}, f AS (SELECT avg(value) AS mean, stddev_samp(value) AS std FROM s WHERE split IN ('d1', 'd2')), z AS (SELECT event_id, split, (value - mean) / std AS v FROM s, f), m AS (SELECT split, avg(v) AS m, stddev_samp(v) AS sd FROM z GROUP BY split) SELECT event_id, z.split, true AS complete, abs(v - m) > 3 * sd AS outlier FROM z JOIN m ON z.split = m.split")
+def prep_plugins(spark, d):
+    """The same with the plugins that the configuration names."""
+    out = prepared(spark, d, "zscore", feature_engineering__plugins=[f"{__name__}:QualityFlag"], postprocessing__plugins=[{"class": f"{__name__}:ThreeSigma"}])
+    return out.select("event_id", "split", "complete", "outlier")
+
+
 @query(scaled("({c} - mean_{c}) / std_{c}"))
 def zscore_all_rows(spark, d):
     df = t(spark, d, "lineitem").select(*MEASURES)

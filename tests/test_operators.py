@@ -294,7 +294,7 @@ def test_plugins(prices):
 def test_configuration(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"export": {"format": "json"}, "extra": {"a": 1}}))
-    c = Configuration().add_file(str(path)).add_environment({"PREPROCESSOR_EXPORT__FORMAT": "parquet", "OTHER": "x"})
+    c = Configuration().add_file(str(path)).add_environment({"CHRONOPREP_EXPORT__FORMAT": "parquet", "OTHER": "x"})
     assert c.get("export.format") == "parquet" and c.get("extra.a") == 1 and not c.has("extra.b")
     assert c.set("export.format", "csv").get("export.format") == "csv" and not c.errors() and len(c.summary()) == 4
     assert "1.0" in Configuration().set("data_splitting.ratios.d1", 0.35).errors()[0]
@@ -363,3 +363,32 @@ def test_fft_peaks_see_the_reference_rows(spark):
     got = registry.queries()["fft_peaks"](spark, d).collect()
     assert [r.k for r in got] == want
     assert all(abs(r.freq - r.k / 4500) < 1e-12 and abs(r.decibel - y[r.k]) < 1e-6 for r in got)
+
+
+def test_checksum_counts_rows_and_nulls(spark):
+    from chronoprep.operators import profile
+
+    value = lambda df: profile.checksum(df).first().checksum
+    a = spark.createDataFrame([("a", None), ("b", "c")], "x string, y string")
+    b = spark.createDataFrame([(None, "a"), ("b", "c")], "x string, y string")
+    assert value(a) != value(b) and value(a) != value(a.union(a)) != 0
+    assert value(a) == value(a.orderBy("x").repartition(3)) and value(a.where("false")) == 0
+
+
+def test_settings_are_not_ignored(spark, tmp_path):
+    import json
+
+    from chronoprep.plans.config import Configuration
+    from chronoprep.plans.pipeline import Preparation
+
+    rows = spark.range(400).selectExpr("timestamp'2020-01-01' + make_interval(0, 0, 0, 0, id) ts", "id * 1.0D x", "id % 2 same_hour")
+    for method, low in (("minmax", -1.0), ("robust", None)):
+        c = Configuration().set("data_handling.timestamp_column", "ts").set("normalization.method", method)
+        job = Preparation(spark, c).use(rows)
+        assert job.export(str(tmp_path / "none")) is False
+        train = job.process().where("split in ('d1', 'd2')").selectExpr("min(x) a", "max(x) b").first()
+        assert (train.a, train.b) == (-1.0, 1.0) if low else train.b - train.a > 1.9
+        job.export(str(tmp_path / method), include_metadata=False)
+        assert json.load(open(tmp_path / method / "normalization.json"))["method"] == {"minmax": "min-max"}.get(method, method)
+    with pytest.raises(ImportError):
+        Preparation(spark, Configuration().set("feature_engineering.plugins", ["no_such_module:Plugin"]))
