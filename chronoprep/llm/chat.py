@@ -22,7 +22,9 @@ class ChatTemplate:
     """How a turn is written, which roles carry loss, which role may follow which.
 
     ``transitions`` maps a state to ``{role: next state}``; a role without an
-    entry is an error and leaves the state as it is.
+    entry is an error and leaves the state as it is.  Escaping knows control strings
+    that begin with ``<|`` and roles that end at a line's end; any other template is
+    refused, since a text could forge its turns.
     """
 
     turn_open: str = "<|im_start|>"
@@ -40,6 +42,10 @@ class ChatTemplate:
         }
     )
 
+    def __post_init__(self):
+        if not (self.turn_open.startswith("<|") and self.turn_close.startswith("<|") and self.role_end == "\n"):
+            raise ValueError("turn_open and turn_close must begin with <| and role_end must be a line end")
+
 
 CHATML = ChatTemplate()
 

@@ -183,3 +183,29 @@ def test_chat(spark):
     assert [tuple(x) for x in out[3].back] == [("ro\nle%0A", "t")]
     assert out[1].valid and not out[2].valid and out[2].first_bad_turn == 0 and out[4].first_bad_turn == 2
     assert chat.format_chats(df.where("false")).count() == 0
+
+
+def test_chat_templates(spark):
+    """Texts made of a template's own pieces are read back as they were; what cannot be escaped is refused."""
+    for wrong in ({"turn_open": "[T]"}, {"turn_close": "[/T]"}, {"role_end": ": "}):
+        with pytest.raises(ValueError):
+            chat.ChatTemplate(**wrong)
+    template = chat.ChatTemplate("<|s|>", "\n", "<|/s|>")
+    rng = np.random.default_rng(9)
+    piece = ["<|s|>", "<|/s|>", "<", "|", "\\", "\n", "assistant", "<\\|", "%0A", "x"]
+    rows = [(c, t, "".join(rng.choice(piece, 2)), "".join(rng.choice(piece, int(rng.integers(0, 9))))) for c in range(100) for t in range(3)]
+    out = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), template)
+    back = {r.conv_id: [tuple(x) for x in r.back] for r in out.withColumn("back", chat.read_back(F.col("formatted"), template)).collect()}
+    assert back == {c: [r[2:] for r in rows if r[0] == c] for c in range(100)}
+
+
+def test_bpe_decode(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    ids = [library.encode(t, add_special_tokens=False).ids for t in ("", "Hello World", "é 漢 <|endoftext|>")]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([*ids, None])], "n int, ids array<int>")
+    got = {r.n: r.decoded for r in bpe.decode(df, path).collect()}
+    assert got == {i: library.decode(x, skip_special_tokens=False) for i, x in enumerate(ids)} | {3: ""}
