@@ -210,7 +210,7 @@ def prep_robust(spark, d):
     return rounded(prepared(spark, d, "robust"), 6, "value").select("event_id", "split", "value")
 
 
-@query(f"WITH {SPLIT}, f AS (SELECT avg(value) AS mean, stddev_samp(value) AS std FROM s WHERE split IN ('d1', 'd2')), z AS (SELECT event_id, split, (value - mean) / std AS v FROM s, f), m AS (SELECT split, avg(v) AS m, stddev_samp(v) AS sd FROM z GROUP BY split) SELECT event_id, z.split, true AS complete, abs(v - m) > 3 * sd AS outlier FROM z JOIN m ON z.split = m.split")
+@query(f"WITH {SPLIT}, f AS (SELECT avg(value) AS mean, stddev_samp(value) AS std FROM s WHERE split IN ('d1', 'd2')), w AS (SELECT event_id, split, (value - mean) / std AS v FROM s, f), m AS (SELECT split, avg(v) AS m, stddev_samp(v) AS sd FROM w GROUP BY split) SELECT event_id, w.split, true AS complete, abs(v - m) > 3 * sd AS outlier FROM w JOIN m ON w.split = m.split")
 def prep_plugins(spark, d):
     """The same with the plugins that the configuration names."""
     out = prepared(spark, d, "zscore", feature_engineering__plugins=[f"{__name__}:QualityFlag"], postprocessing__plugins=[{"class": f"{__name__}:ThreeSigma"}])
