@@ -10,7 +10,8 @@ agree with probability equal to the weighted Jaccard similarity.
 Exact copies are folded to one text first.  Texts that share a band form a bucket.  A
 first pass compares each text with its buckets' leaders, which settles nearly all.  A
 second pass takes the buckets that still hold texts of several classes and compares
-signatures across classes, in blocks; pairs whose signatures leave room for a link are
+signatures across classes, in blocks, and then one-permutation sketches, which estimate
+the same similarity more closely; pairs for which both leave room for a link are
 verified on the texts, the most alike of each text and class first, until no pair across
 classes is left.  Classes are the connected components of the verified links.
 
@@ -39,8 +40,12 @@ THRESHOLD = 0.8
 #: 5.7 deviations, so that fewer than one link in 10^7 is turned away.
 ALIKE = 75
 SLICE_CHARS = 400_000
+BINS = 512  # of a sketch
+#: Standard deviations below the threshold at which a sketch turns a pair away.
+SLACK = 5
 BLOCK = 2048  # texts of a bucket that one group of comparisons holds
 PAIRS = 1 << 17  # signature comparisons at once
+SKETCHES = 1 << 14  # sketch comparisons at once
 EDGES = 1 << 20  # edges whose components one task finds
 CELL = 2000  # texts to a side of a cell in which pairs are verified
 
@@ -137,6 +142,35 @@ def bag_min_hash(doc: np.ndarray, item: np.ndarray, weight: np.ndarray, n_docs:
     return value.reshape(n_docs, m)
 
 
+def sketch(doc: np.ndarray, item: np.ndarray, weight: np.ndarray, n_docs: int) -> np.ndarray:
+    """One-permutation sketches (n_docs, BINS) of the multisets, as sets of numbered copies: each bin's smallest hash as a byte, 0 if it has none.
+
+    Of the bins that either of two texts uses, the share with equal bytes estimates their
+    similarity; it is exact where no two shingles meet in a bin.
+    """
+    src = np.repeat(np.arange(len(doc)), weight)
+    copy = np.arange(len(src)) - np.repeat(np.cumsum(weight) - weight, weight)
+    with np.errstate(over="ignore"):
+        h = mix(item[src] + mix(copy.astype(U) + U(29)) * _PHI)
+    low = np.full(n_docs * BINS, np.iinfo(U).max, U)
+    np.minimum.at(low, doc[src] * BINS + (h % U(BINS)).astype(np.int64), h)
+    short = np.where(low == np.iinfo(U).max, U(0), mix(low) % U(255) + U(1))
+    return short.astype(np.uint8).reshape(n_docs, BINS)
+
+
+def room(one: np.ndarray, two: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Whether sketches leave room for a link, ``mass`` being that of both texts together.
+
+    The variance is that of one-permutation estimates at the threshold, given the bins in
+    use; it is nothing where each shingle has a bin of its own.
+    """
+    same = ((one == two) & (one > 0)).sum(1)
+    used = np.maximum(((one > 0) | (two > 0)).sum(1), 1)
+    others = np.maximum(mass / (1 + THRESHOLD) - 1, 1)
+    spread = THRESHOLD * (1 - THRESHOLD) * np.maximum((1 + 1 / others) / used - 1 / others, 0)
+    return same / used >= THRESHOLD - SLACK * np.sqrt(spread) - 1e-9
+
+
 def overlap(a: str, b: str, memo: dict[str, int]) -> float:
     """Weighted Jaccard similarity of two texts' shingle multisets."""
     doc, item, weight = shingles([a, b], memo)
@@ -183,10 +217,24 @@ def signatures(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, SIGNED)
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """Signatures as rows of bytes."""
+def sketched(texts: DataFrame) -> DataFrame:
+    """``rep, text`` with the sketch of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, int] = {}
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_CHARS):
+                rows = sketch(*shingles(part.column("text").to_pylist(), memo), len(part))
+                bytes_ = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BINS), len(part), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("text"), bytes_], ["rep", "text", "sketch"])
+
+    return texts.mapInArrow(run, "rep long, text string, sketch binary")
+
+
+def matrix(column: pa.Array, width: int = COMPONENTS) -> np.ndarray:
+    """Signatures or sketches as rows of bytes."""
     flat = np.frombuffer(b"".join(column.to_pylist()), np.uint8) if len(column) else np.zeros(0, np.uint8)
-    return flat.reshape(-1, COMPONENTS)
+    return flat.reshape(-1, width)
 
 
 def sized(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -219,7 +267,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     line = lambda c: F.pmod(F.xxhash64(c), F.lit(side).cast("long"))
     dealt = pairs.withColumn("cell", line("leader") * side + line("rep"))
     wants = dealt.select("cell", F.explode(F.array("leader", "rep")).alias("rep")).distinct()
-    given = texts.join(wants, "rep").select("cell", F.lit(0).alias("kind"), "rep", F.lit(0).cast("long").alias("leader"), "text")
+    given = texts.select("rep", "text").join(wants, "rep").select("cell", F.lit(0).alias("kind"), "rep", F.lit(0).cast("long").alias("leader"), "text")
     asked = dealt.select("cell", F.lit(1).alias("kind"), "rep", "leader", F.lit("").alias("text"))
     rows = given.unionAll(asked).repartition("cell").sortWithinPartitions("cell", "kind")
 
@@ -297,7 +345,8 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     member = stash(member.join(sizes, "band"), "neardup-members")
     degree = stash(member.groupBy("rep").agg(F.sum("others").alias("degree")), "neardup-degrees")
     # merged whatever the size, so that the cost of moving texts is in proportion to the input
-    texts = stash(texts.join(degree.hint("merge"), "rep").groupBy("rep").agg(F.min("text").alias("text")), "neardup-crowded")
+    texts = stash(sketched(texts.join(degree.hint("merge"), "rep").groupBy("rep").agg(F.min("text").alias("text"))), "neardup-crowded")
+    marks = signed.join(texts.select("rep", "sketch"), "rep")
     lead = member.join(degree, "rep").groupBy("band").agg(F.max(F.struct("degree", (-F.col("rep")).alias("last"))).alias("top"))
     lead = stash(lead.select("band", (-F.col("top.last")).alias("leader")), "neardup-leaders")
     pairs = member.join(lead, "band").where("rep <> leader").select(F.least("rep", "leader").alias("leader"), F.greatest("rep", "leader").alias("rep")).distinct()
@@ -308,7 +357,7 @@ def links(texts: DataFrame, reps: DataFrame) -> DataFrame:
     discard(sizes, degree, lead)
     take = 64
     while not now.isEmpty():
-        across = stash(crossing(now, signed, take), "neardup-crossing")
+        across = stash(crossing(now, marks, take), "neardup-crossing")
         pairs = stash(across.select("leader", "rep").distinct().join(done, ["leader", "rep"], "left_anti"), "neardup-pairs")
         found, done = found.unionByName(verified(pairs, texts)), done.unionByName(pairs)
         root = components(found)
@@ -327,18 +376,18 @@ def with_roots(member: DataFrame, root: DataFrame) -> DataFrame:
     return stash(known.join(stash(sizes.where("roots > 1").drop("roots"), "neardup-mixed"), "band"), "neardup-now")
 
 
-def crossing(now: DataFrame, signed: DataFrame, take: int) -> DataFrame:
-    """``leader, rep, band, more``: pairs of a bucket across classes whose signatures leave room for a link.
+def crossing(now: DataFrame, marks: DataFrame, take: int) -> DataFrame:
+    """``leader, rep, band, more``: pairs of a bucket across classes whose signatures and sketches leave room for a link.
 
     The texts outside a bucket's largest class are queries against all of the bucket,
     which is dealt in blocks, so no task holds more than a block and a batch of queries.
-    For each query and class the ``take`` most alike texts of a block come out; ``more``
-    says that there are others.
+    For each query and class the ``take`` most alike texts of a block come out, each pair
+    in the first of its common bands; ``more`` says that there are others.
     """
-    rows = now.join(signed.select("rep", "mass", "sig"), "rep")
+    rows = now.join(marks, "rep")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int")
-    columns = ("rep", "root", "big", "mass", "sig")
+    columns = ("rep", "root", "big", "mass", "sig", "bands", "sketch")
     base = rows.select("band", own.alias("block"), F.lit(0).alias("kind"), *columns)
     asked = rows.where("root <> big").select("band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("kind"), *columns)
     dealt = base.unionByName(asked).repartition("band", "block").sortWithinPartitions("band", "block", "kind")
@@ -346,7 +395,8 @@ def crossing(now: DataFrame, signed: DataFrame, take: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            now = {c: batch.column(c).to_numpy() for c in ("band", "block", "kind", "rep", "root", "big", "mass")} | {"sig": matrix(batch.column("sig"))}
+            now = {c: batch.column(c).to_numpy() for c in ("band", "block", "kind", "rep", "root", "big", "mass")} | {"sig": matrix(batch.column("sig")), "sketch": matrix(batch.column("sketch"), BINS)}
+            now["bands"] = batch.column("bands").flatten().to_numpy().reshape(-1, COMPONENTS // ROWS)
             if not len(now["rep"]):
                 continue
             if held is not None:
@@ -380,6 +430,12 @@ def compared(rows: dict, query: np.ndarray, first: np.ndarray, count: np.ndarray
         agree = (rows["sig"][a] == rows["sig"][b]).sum(1)
         fit = agree >= ALIKE
         a, b, agree = a[fit], b[fit], agree[fit]
+        few = [slice(i, i + SKETCHES) for i in range(0, len(a), SKETCHES)]
+        fit = np.concatenate([np.zeros(0, bool), *(room(rows["sketch"][a[x]], rows["sketch"][b[x]], rows["mass"][a[x]] + rows["mass"][b[x]]) for x in few)])
+        a, b, agree = a[fit], b[fit], agree[fit]
+        # a pair comes out of the first band that it shares only
+        fit = rows["bands"][a, (rows["bands"][a] == rows["bands"][b]).argmax(1)] == rows["band"][a]
+        a, b, agree = a[fit], b[fit], agree[fit]
         if not len(a):
             continue
         order = np.lexsort((rows["rep"][b], -agree, rows["root"][b], a))

@@ -317,3 +317,21 @@ def test_mixing_classifier_held_out(spark):
 
 def test_modules_do_not_leak():
     assert all(m.__name__.startswith("chronoprep.llm.") for m in (chat, lines, warc))
+
+
+def test_sketches_leave_room_for_links():
+    """Sets of n shingles a side with similarity just at the threshold pass; far below it they do not."""
+    rng = np.random.default_rng(5)
+    for n in (5, 20, 165, 2000):
+        for share, expected in ((0.8, 1.0), (0.5, 0.0)):
+            both = int(np.ceil(share * n))
+            x = (n - both) // 2
+            doc, item = [], []
+            for k in range(50):
+                all_ = rng.integers(0, 2**63, n, dtype=np.uint64)
+                doc += [np.full(both + x, 2 * k), np.full(n - x, 2 * k + 1)]
+                item += [all_[: both + x], np.r_[all_[:both], all_[both + x :]]]
+            doc, item = np.concatenate(doc), np.concatenate(item)
+            s = neardup.sketch(doc, item, np.ones(len(doc), np.int64), 100)
+            passed = neardup.room(s[::2], s[1::2], np.full(50, n + both)).mean()
+            assert passed == expected if n > 20 or share == 0.8 else passed < 0.2
