@@ -99,6 +99,45 @@ def mutual_information(df: DataFrame, features: list[str], target: str, bins: in
     return joined.groupBy("feature").agg(F.sum(p * F.log(F.col("n") * F.col("t") / (F.col("nx") * F.col("ny")))).alias("mi"))
 
 
+def select_features(df: DataFrame, method: str, features: list[str], settings: dict | None = None, target: str | None = None, order_by: list[str] | None = None) -> list[str]:
+    """The features that ``method`` keeps.
+
+    ``acf`` and ``pacf`` keep those with an energy above ``significance_level``; with
+    ``mode`` ``standard`` those with a true autocorrelation or partial one above it at some of
+    ``lags``.  ``granger`` keeps those whose past improves a forecast of ``target`` by an F
+    statistic above ``min_f``; ``lasso``, ``elastic_net``, ``mutual_info`` and ``boruta`` need a
+    target too.  Any other method raises.
+    """
+    known = {"significance_level": 0.05, "mode": "energy", "lags": 10, "min_f": 3.84, "alpha": 1.0, "l1_ratio": 0.5, "k": 10, "rounds": 5} | (settings or {})
+    if method not in ("acf", "pacf", "granger", "lasso", "elastic_net", "mutual_info", "boruta"):
+        raise ValueError(f"unknown selection method: {method}")
+    if method in ("acf", "pacf"):
+        if known["mode"] == "standard":
+            found = {f: acf(df, f, order_by, known["lags"]) for f in features}
+            found = {f: pacf(r) for f, r in found.items()} if method == "pacf" else found
+            return [f for f in features if max(map(abs, found[f]), default=0.0) > known["significance_level"]]
+        kept = {r.feature for r in energy(df, features, known["significance_level"]).collect() if r.selected}
+        return [f for f in features if f in kept]
+    if target is None:
+        raise ValueError(f"{method} needs a target")
+    if method == "granger":
+        return [f for f in features if granger(df, f, target, order_by, known.get("max_lag", 2)) > known["min_f"]]
+    if method == "mutual_info":
+        kept = {r.feature for r in top_mutual_information(df, features, target, known["k"]).collect()}
+        return [f for f in features if f in kept]
+    if method == "boruta":
+        return shadow_forest(df, features, target, known["rounds"])
+    return lasso(df, features, target, known["alpha"]) if method == "lasso" else elastic_net(df, features, target, known["alpha"], known["l1_ratio"])
+
+
+def save_selection(path: str, method: str, selected: list[str]) -> None:
+    """Write what ``select_saved`` reads."""
+    import json
+
+    with open(path, "w") as f:
+        json.dump({"method": method, "selected_features": selected}, f)
+
+
 def top_mutual_information(df: DataFrame, features: list[str], target: str, k: int = 10) -> DataFrame:
     """The k most informative features, least informative first."""
     return mutual_information(df, features, target).orderBy(F.desc("mi"), "feature").limit(k).orderBy("mi", "feature")

@@ -149,6 +149,20 @@ def datasets(df: DataFrame) -> dict[str, DataFrame]:
     return {k: df.where(F.col("split") == k).drop("split") for k in KEYS}
 
 
+def schema_drift(parts: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
+    """``split, difference, feature`` of each dataset against the first: columns that are missing, extra or of another type."""
+    if not parts:
+        return []
+    first = dict(next(iter(parts.values())).dtypes)
+    out = []
+    for k, df in parts.items():
+        own = dict(df.dtypes)
+        out += [(k, "missing", c) for c in first if c not in own]
+        out += [(k, "extra", c) for c in own if c not in first]
+        out += [(k, "type", c) for c in own if c in first and own[c] != first[c]]
+    return out
+
+
 def union_training(parts: list[DataFrame]) -> DataFrame:
     """Vertical concatenation of separate datasets, columns united."""
     if not parts:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +92,11 @@ def shuffle_split(spark, d):
     return split.split_six(t(spark, d, "orders").select("o_orderkey"), setup, ["o_orderkey"]).groupBy("split").agg(F.count("*").alias("rows"))
 
 
-@query()
+ENDS = list(accumulate(RATIOS.values()))
+
+
+@query(f"""WITH s AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1), p AS (SELECT event_type, (unnest(range(n)) + 0.5::DOUBLE) / n AS spot FROM s)
+SELECT event_type, CASE {" ".join(f"WHEN spot < {e!r}::DOUBLE THEN '{k}'" for k, e in zip(RATIOS, ENDS))} ELSE 'd6' END AS split, count(*) AS rows FROM p GROUP BY 1, 2""")
 def stratified_split(spark, d):
     setup = split.SplitConfiguration(RATIOS, random_seed=42, stratify_column="event_type")
     out = split.split_six(t(spark, d, "events").select("event_id", "event_type"), setup, ["event_id"])
@@ -464,15 +470,26 @@ def channel_capacity(spark, d):
     return s.select(F.round("capacity", 9).alias("capacity"), F.round("information", 3).alias("information"))
 
 
-@query()
+@query("""WITH p AS (SELECT value AS x, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS i FROM events), n AS (SELECT least(count(*), 4500) AS n FROM p),
+q AS (SELECT x, n - i AS j, n FROM p, n WHERE i <= n), k AS (SELECT unnest(range(n // 2)) AS k FROM n),
+f AS (SELECT k, max(n) AS n, sum(x * cos(2 * pi() * ((k * j) % n) / n)) AS re, sum(x * sin(2 * pi() * ((k * j) % n) / n)) AS im FROM q, k GROUP BY k),
+l AS (SELECT k, k * (1::DOUBLE / n) AS freq, 10 * log10(sqrt(re * re + im * im) + 1e-10) AS decibel FROM f),
+w AS (SELECT *, lag(decibel) OVER (ORDER BY k) AS a, lead(decibel) OVER (ORDER BY k) AS b FROM l)
+SELECT k, freq, round(decibel, 7) AS decibel FROM w WHERE decibel > a AND decibel > b ORDER BY k LIMIT 5""")
 def fft_peaks(spark, d):
-    return signal.peaks(signal.spectrum(t(spark, d, "events"), "value", ORDER))
+    return rounded(signal.peaks(signal.spectrum(t(spark, d, "events"), "value", ORDER)), 7, "decibel")
 
 
-@query()
+@query("""WITH RECURSIVE m AS (SELECT avg(value) AS m FROM events), p AS (SELECT value - m AS x, row_number() OVER (ORDER BY ts, event_id) AS i FROM events, m),
+l AS (SELECT unnest(range(1, 11))::INTEGER AS lag), c AS (SELECT lag, sum(a.x * b.x) / (SELECT sum(x * x) FROM p) AS acf FROM l, p a JOIN p b ON true WHERE b.i = a.i - lag GROUP BY lag),
+r AS (SELECT list(acf ORDER BY lag) AS rho FROM c),
+s(k, phi) AS (SELECT 1, [rho[1]] FROM r UNION ALL
+  SELECT k + 1, list_append(list_transform(list_zip(phi, list_reverse(phi)), lambda x: x[1] - last * x[2]), last)
+  FROM (SELECT k, phi, (rho[k + 1] - list_dot_product(phi, list_reverse(rho[1:k]))) / (1 - list_dot_product(phi, rho[1:k])) AS last FROM s, r WHERE k < 10))
+SELECT k AS lag, round(acf, 6) AS acf, round(phi[k], 6) AS pacf FROM s JOIN c ON c.lag = s.k""")
 def pacf_standard(spark, d):
     rho = select.acf(t(spark, d, "events"), "value", ORDER)
-    return spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(zip(rho, select.pacf(rho)))], "lag int, acf double, pacf double")
+    return rounded(spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(zip(rho, select.pacf(rho)))], "lag int, acf double, pacf double"), 6, "acf", "pacf")
 
 
 @query()
@@ -484,6 +501,21 @@ def granger_f(spark, d):
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
 
+@query("""WITH p AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS i, value, user_id::DOUBLE AS user_id, event_id::DOUBLE AS event_id FROM events), s AS (SELECT sum(value * value) AS value, sum(user_id * user_id) AS user_id FROM p)
+SELECT unnest(['value', 'user_id']) AS feature, unnest([value > 0.05, user_id > 0.05]) AS kept FROM s""")
+def select_by_method(spark, d):
+    df = t(spark, d, "events")
+    kept = select.select_features(df, "acf", ["value", "user_id"], {"significance_level": 0.05})
+    return spark.createDataFrame([(f, f in kept) for f in ("value", "user_id")], "feature string, kept boolean")
+
+
+@query("SELECT 'd2' AS split, 'missing' AS difference, 'l_tax' AS feature UNION ALL SELECT 'd3', 'extra', 'l_line'")
+def schema_drift(spark, d):
+    df = t(spark, d, "lineitem").select(*LINE, *MEASURES)
+    found = split.schema_drift({"d1": df, "d2": df.drop("l_tax"), "d3": df.withColumn("l_line", F.col("l_linenumber"))})
+    return spark.createDataFrame(found, "split string, difference string, feature string")
+
+
 @query()
 def lasso_select(spark, d):
     return spark.createDataFrame([(f,) for f in select.lasso(t(spark, d, "lineitem"), FEATURES, "l_extendedprice", 1.0)], "feature string")

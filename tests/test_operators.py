@@ -392,3 +392,25 @@ def test_settings_are_not_ignored(spark, tmp_path):
         assert json.load(open(tmp_path / method / "normalization.json"))["method"] == {"minmax": "min-max"}.get(method, method)
     with pytest.raises(ImportError):
         Preparation(spark, Configuration().set("feature_engineering.plugins", ["no_such_module:Plugin"]))
+
+
+def test_select_features_by_method(spark, tmp_path):
+    rows = [(i, float(i % 7), 0.0, float(3 * (i % 7))) for i in range(200)]
+    df = spark.createDataFrame(rows, "i long, a double, zero double, y double")
+    assert select.select_features(df, "acf", ["zero", "a"]) == ["a"]
+    assert select.select_features(df, "pacf", ["a"], {"mode": "standard", "lags": 3}, order_by=["i"]) == ["a"]
+    assert select.select_features(df, "lasso", ["a", "zero"], {"alpha": 0.1}, "y") == ["a"]
+    assert select.select_features(df, "mutual_info", ["zero", "a"], {"k": 1}, "y") == ["a"]
+    with pytest.raises(ValueError):
+        select.select_features(df, "other", ["a"])
+    with pytest.raises(ValueError):
+        select.select_features(df, "lasso", ["a"])
+    select.save_selection(str(tmp_path / "s.json"), "acf", ["a"])
+    assert trim.select_saved(df, str(tmp_path / "s.json")).columns == ["a"]
+
+
+def test_schema_drift(spark):
+    one = spark.createDataFrame([(1, 2.0)], "a long, b double")
+    two = spark.createDataFrame([(1, 2.0)], "a int, c double")
+    assert split.schema_drift({}) == []
+    assert sorted(split.schema_drift({"d1": one, "d2": two})) == [("d2", "extra", "c"), ("d2", "missing", "b"), ("d2", "type", "a")]
