@@ -335,3 +335,41 @@ def test_sketches_leave_room_for_links():
             s = neardup.sketch(doc, item, np.ones(len(doc), np.int64), 100)
             passed = neardup.room(s[::2], s[1::2], np.full(50, n + both)).mean()
             assert passed == expected if n > 20 or share == 0.8 else passed < 0.2
+
+
+def ordinal_loss(rows, columns, grade, w, cuts, l1=3e-5):
+    z = np.bincount(rows, w[columns], len(grade))
+    edge = np.r_[-np.inf, cuts, np.inf]
+    at_least = lambda k: 1 / (1 + np.exp(np.clip(edge[k] - z, -500, 500)))
+    return -np.log(np.maximum(at_least(grade) - at_least(grade + 1), 1e-12)).mean() + l1 * w.sum()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ordinal_fit_against_slow_descent(seed):
+    """The fit is as good as plain projected descent with numeric slopes and halved steps, which needs no formula of the gradient."""
+    rng = np.random.default_rng(seed)
+    n, words = 400, 5
+    has = rng.random((n, words)) < 0.3
+    z = has @ np.array([2.5, 1.5, 0.8, 0.0, -1.0]) + rng.logistic(size=n)
+    grade = np.digitize(z, [1.0, 2.5])
+    rows, columns = np.nonzero(has)
+    w, cuts = toxicity.fit_ordinal(rows, columns, grade, words, 3)
+    assert (w >= 0).all() and (np.diff(cuts) > 0).all()
+
+    def loss(x):
+        return ordinal_loss(rows, columns, grade, x[:words], np.array([x[words], x[words] + max(x[words + 1], 1e-6)]))
+
+    x = np.r_[np.zeros(words), 1.0, 1.0]
+    now, step = loss(x), 1.0
+    for _ in range(1500):
+        slope = np.array([(loss(x + e) - loss(x - e)) / 2e-5 for e in np.eye(words + 2) * 1e-5])
+        while step > 1e-9:
+            y = x - step * slope
+            y[:words] = np.maximum(y[:words], 0)
+            if loss(y) < now:
+                break
+            step /= 2
+        else:
+            break
+        x, now, step = y, loss(y), step * 1.5
+    assert ordinal_loss(rows, columns, grade, w, cuts) <= now + 1e-4
