@@ -188,16 +188,20 @@ def drop_toxic(df: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> Da
     return small_batches(df).mapInArrow(run, df.schema)
 
 
-def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents with grade 0 or 1, by the mark ``toxic``."""
-    marks = labels.where(F.col("toxic").isNotNull()).select("doc_id", F.when(F.col("toxic") == 0, 0).otherwise(1).alias("grade"))
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+def marked(labels: DataFrame) -> DataFrame:
+    """``doc_id, grade`` of the labels with an id and a mark: 1 if any of an id's labels says toxic, else 0."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+    return known.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") == 0, 0).otherwise(1)).alias("grade"))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """The rows to fit on: labels are sampled first, so the join meets no more of them than that."""
-    few = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return graded(docs, F.broadcast(few))
+    """The rows to fit on, with grade 0 or 1: ids are sampled first, so the join meets no more of them than that.
+
+    An id with several labels is toxic if any of them says so; rows that repeat an id
+    each come with its grade.
+    """
+    few = marked(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

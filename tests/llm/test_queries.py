@@ -373,3 +373,11 @@ def test_ordinal_fit_against_slow_descent(seed):
             break
         x, now, step = y, loss(y), step * 1.5
     assert ordinal_loss(rows, columns, grade, w, cuts) <= now + 1e-4
+
+
+def test_toxicity_conflicting_labels(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, 0), (3, None), (None, 1)], "doc_id long, toxic int")
+    want = [(1, "a", 1), (1, "b", 1), (2, "c", 0)]
+    assert sorted(tuple(r) for r in toxicity.labelled_sample(docs, labels).collect()) == want
+    assert toxicity.labelled_sample(docs, labels, 1).select("doc_id").distinct().count() == 1
