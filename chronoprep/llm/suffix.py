@@ -5,14 +5,17 @@ strings belong to equal minimisers.  Consecutive strings with the same minimiser
 a window, the unit that is dealt: about one window for 39 bytes of text.
 
 1. Windows are dealt by minimiser.  Equal windows fold to the first one; the others are
-   repeats as a whole.  Minimisers with a single distinct window are settled.
-2. The distinct windows of the other minimisers are cut out of the texts and dealt to
-   blocks.  Each block gets a run-length index: a run-compressed Burrows-Wheeler
+   repeats as a whole.  Minimisers with a single distinct window are settled, and so are
+   strings whose stretch about the minimiser no other window of it has: a string that
+   reaches d bytes before the minimiser contains all that strings with a like d have in
+   common, and a few bits of the hash of that, for four ranges of d, come with the window.
+2. What is left of the distinct windows is cut out of the texts and dealt to blocks.  Each block gets a run-length index: a run-compressed Burrows-Wheeler
    transform with the suffix positions sampled at run ends.  All windows stream through
    it backwards by LF steps; the rank gives each 100-byte string the interval of its
    matches, and a string whose interval starts earlier in the corpus is a repeat.
    Minimisers with very many distinct windows (edges of a passage that many texts share)
-   are dealt string by string instead, so that no task gets them all.
+   are dealt string by string instead, so that no task gets them all; equal strings fold
+   before they are dealt.
 3. Repeats meet their document once more, which loses the bytes they cover.
 
 numpy does the byte arithmetic in slices of bounded size.
@@ -33,8 +36,11 @@ from .common import small_batches, stash, table
 LENGTH = 100
 GRAM = 24
 PIECE = 1 << 19  # bytes hashed at once; far below the 2^24 places that fit beside a 40-bit hash
-BLOCK = 1 << 21  # bytes indexed at once
+BLOCK = 1 << 18  # bytes indexed at once, few enough for a processor's cache
 CROWD = 2000  # distinct windows of a minimiser beyond which its strings are dealt singly
+REACH = LENGTH - GRAM  # most bytes of a string before its minimiser
+RANGES = [(0, 18), (19, 37), (38, 56), (57, REACH)]  # of the bytes before the minimiser
+BITS = 14  # of the hash of what the strings of a range have in common
 NO_ID = -(2**63)
 
 U = np.uint64
@@ -84,11 +90,13 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def windows_of(b: np.ndarray, doc_start: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``minimiser, content, start, count`` of the windows of concatenated texts.
+    """``minimiser, content, common, start, count`` of the windows of concatenated texts.
 
     A window of ``count`` strings covers bytes ``start .. start + count - 1 + LENGTH``.
+    ``common`` holds the minimiser's distance from ``start`` and, for each of ``RANGES``
+    that the window has strings of, hash bits of the bytes that they all contain.
     """
-    none = (np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    none = (np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     n = len(b)
     if n < LENGTH:
         return none
@@ -109,7 +117,18 @@ def windows_of(b: np.ndarray, doc_start: np.ndarray) -> tuple[np.ndarray, ...]:
     head = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (p[1:] != p[:-1] + 1)])
     start = p[head]
     count = np.diff(np.r_[head, len(p)])
-    return gram[m[head]], h.of(start, start + count - 1 + LENGTH) + count.astype(U), start, count
+    m = m[head]
+    common = m - start
+    for j, has in enumerate(in_range(common, count)):
+        low, high = RANGES[j]
+        at = m[has]
+        common[has] |= (h.of(at - low, at - high + LENGTH) >> U(64 - BITS)).astype(np.int64) << (7 + BITS * j)
+    return gram[m], h.of(start, start + count - 1 + LENGTH) + count.astype(U), common, start, count
+
+
+def in_range(before: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    """For each of ``RANGES``, the windows with strings of it; the first string of a window has ``before`` bytes before the minimiser."""
+    return [np.flatnonzero((before >= low) & (before - count < high)) for low, high in RANGES]
 
 
 def pieces(texts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -135,26 +154,41 @@ def pieces(texts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of each slice, equal ones folded: ``kind`` 1 goes on, 0 is settled as a repeat."""
+    """Windows of each slice, equal ones folded to the ``fresh`` first; the others are repeats, in longer runs, dealt by their document."""
     for batch in batches:
         key, mark = batch.column("key").to_numpy(), batch.column("mark").to_numpy()
         texts = (x.as_buffer() for x in batch.column("text"))
         for b, rows, offs, starts in pieces(texts):
-            h, c, s, count = windows_of(b, starts)
+            h, c, common, s, count = windows_of(b, starts)
             part = np.searchsorted(starts, s, "right") - 1
             row = rows[part]
             place = s - starts[part] + offs[part]
             k, m = key[row], mark[row]
             order = np.lexsort((place, m, k, c, h))
-            h, c, k, m, place, count = h[order], c[order], k[order], m[order], place[order], count[order]
+            h, c, common, k, m, place, count = h[order], c[order], common[order], k[order], m[order], place[order], count[order]
             new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])] if len(h) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(k), pa.array(m), pa.array(place * 256 + count), pa.array(new)],
-                ["h", "c", "key", "mark", "place", "fresh"],
-            )
+            k2, m2, place2 = longer(k[~new], m[~new], place[~new], count[~new])
+            zero = np.zeros(len(k2), np.int64)
+            columns = (
+                np.r_[h[new].view(np.int64), k2 ^ m2], np.r_[c[new].view(np.int64), zero], np.r_[common[new], zero],
+                np.r_[k[new], k2], np.r_[m[new], m2], np.r_[place[new] * 256 + count[new], place2], np.r_[np.ones(int(new.sum()), bool), zero > 0],
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "c", "common", "key", "mark", "place", "fresh"])
+
 
+def longer(k: np.ndarray, m: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``key, mark, place`` of windows, those that follow each other joined to runs of up to 255 strings."""
+    order = np.lexsort((start, m, k))
+    k, m, start, count = k[order], m[order], start[order], count[order]
+    if not len(k):
+        return k, m, start
+    chain = np.r_[True, (k[1:] != k[:-1]) | (m[1:] != m[:-1]) | (start[1:] != start[:-1] + count[:-1])]
+    stretch = (start - start[np.flatnonzero(chain)[np.cumsum(chain) - 1]]) // (255 - REACH)
+    head = np.flatnonzero(chain | np.r_[True, stretch[1:] != stretch[:-1]])
+    return k[head], m[head], start[head] * 256 + np.add.reduceat(count, head)
 
-WINDOW = "h long, c long, key long, mark long, place long, fresh boolean"
+
+WINDOW = "h long, c long, common long, key long, mark long, place long, fresh boolean"
 
 
 def groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], least: int = 1) -> Iterator[dict[str, np.ndarray]]:
@@ -180,20 +214,52 @@ def groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], least: i
         yield {c: np.concatenate(v) for c, v in held.items()}
 
 
+def alike(group: np.ndarray, common: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(window, place)`` of the strings that another window of the same group may hold, in runs.
+
+    Equal strings lie alike about the minimiser, so they are of the same range and contain the same bytes of it.
+    """
+    before, count = common & 127, place & 255
+    share = np.zeros((len(group), len(RANGES) + 2), bool)
+    for j, has in enumerate(in_range(before, count)):
+        key = group[has] << BITS | (common[has] >> (7 + BITS * j)) & ((1 << BITS) - 1)
+        _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+        share[has, j + 1] = n[back] > 1
+    w, first = np.nonzero(share[:, 1:-1] & ~share[:, :-2])
+    _, last = np.nonzero(share[:, 1:-1] & ~share[:, 2:])
+    low, high = np.array(RANGES).T
+    least, most = np.maximum(low[first], before[w] - count[w] + 1), np.minimum(high[last], before[w])
+    return w, ((place[w] >> 8) + before[w] - most) * 256 + most - least + 1
+
+
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fold equal windows: ``crowd`` 0 is a repeat as a whole, otherwise the number of distinct windows of its minimiser."""
-    for g in groups(batches, ("h", "c", "key", "mark", "place"), 50_000):
+    """Fold equal windows and settle unlike ones.
+
+    ``crowd`` 0 is a repeat as a whole; otherwise the row is a run of strings that another window of the minimiser may
+    hold, and ``crowd`` the number of distinct windows that have such.
+    """
+    for g in groups(batches, ("h", "c", "common", "key", "mark", "place", "fresh"), 50_000):
+        known = {c: v[~g["fresh"]] for c, v in g.items()}
+        g = {c: v[g["fresh"]] for c, v in g.items()}
         order = np.lexsort((g["place"], g["mark"], g["key"], g["c"], g["h"]))
         g = {c: v[order] for c, v in g.items()}
         h, c = g["h"], g["c"]
-        same_h = np.r_[False, h[1:] == h[:-1]]
-        first = ~(same_h & np.r_[False, c[1:] == c[:-1]])
-        same_place = np.r_[False, (g["key"][1:] == g["key"][:-1]) & (g["mark"][1:] == g["mark"][:-1]) & (g["place"][1:] == g["place"][:-1])] & ~first
+        same_h = np.r_[False, h[1:] == h[:-1]][: len(h)]
+        first = ~(same_h & np.r_[False, c[1:] == c[:-1]][: len(h)])
+        same_place = np.r_[False, (g["key"][1:] == g["key"][:-1]) & (g["mark"][1:] == g["mark"][:-1]) & (g["place"][1:] == g["place"][:-1])][: len(h)] & ~first
         number = np.cumsum(~same_h) - 1
-        crowd = np.bincount(number, first)[number].astype(np.int32)
-        crowd = np.where(first, crowd, 0)
-        keep = ~same_place & (crowd != 1)  # rows that repeat an id and its text are the same place
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, g["key"], g["mark"], g["place"], crowd)], ["h", "key", "mark", "place", "crowd"])
+        whole = np.flatnonzero(~first & ~same_place)  # rows that repeat an id and its text are the same place
+        several = np.flatnonzero(first & (np.bincount(number, first)[number] > 1))
+        w, runs = alike(number[several], g["common"][several], g["place"][several])
+        w = several[w]
+        each = number[w[np.r_[True, w[1:] != w[:-1]]]] if len(w) else w  # a window may have several runs
+        crowd = np.bincount(each, minlength=len(h))[number[w]]
+        rows = np.r_[whole, w]
+        columns = (
+            np.r_[known["h"], h[rows]], np.r_[known["key"], g["key"][rows]], np.r_[known["mark"], g["mark"][rows]],
+            np.r_[known["place"], g["place"][whole], runs], np.r_[np.zeros(len(known["h"]) + len(whole), np.int32), crowd.astype(np.int32)],
+        )
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "key", "mark", "place", "crowd"])
 
 
 # ---------------------------------------------------------------- the run-length index
@@ -346,16 +412,20 @@ def mark_repeats(payload: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def emit_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, mark, place`` (place as start * 256 + count) of the repeats among windows that are dealt by ``h``."""
+    """``key, mark, place`` (place as start * 256 + count) of the repeats among windows that are dealt by ``h``; those without bytes are."""
     held: list[dict] = []
     size = 0
-    for g in groups(batches, ("h", "key", "mark", "place", "bytes"), 5_000):
+    for g in groups(batches, ("h", "key", "mark", "place", "bytes"), 1_000):
+        known = np.array([x is None for x in g["bytes"]])
+        if known.any():
+            yield pa.RecordBatch.from_arrays([pa.array(g[c][known]) for c in ("key", "mark", "place")], ["key", "mark", "place"])
+            g = {c: v[~known] for c, v in g.items()}
         held.append(g)
         size += sum(map(len, g["bytes"]))
         if size >= BLOCK:
             yield repeats_of(held)
             held, size = [], 0
-    if held:
+    if size:
         yield repeats_of(held)
 
 
@@ -364,53 +434,64 @@ def repeats_of(held: list[dict]) -> pa.RecordBatch:
     order = np.lexsort((g["place"], g["mark"], g["key"]))
     g = {c: v[order] for c, v in g.items()}
     start = g["place"] >> 8
-    w, o = mark_repeats(g["bytes"].tolist())
+    first: dict[bytes, int] = {}
+    again = np.array([first.setdefault(x, i) != i for i, x in enumerate(g["bytes"])])  # as a whole
+    own = np.flatnonzero(~again)
+    w, o = mark_repeats(g["bytes"][own].tolist())
     order = np.lexsort((o, w))
-    w, o = w[order], o[order]
+    w, o = own[w[order]], o[order]
     head = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (o[1:] != o[:-1] + 1)]) if len(w) else np.zeros(0, int)
     n = np.diff(np.r_[head, len(w)])
     w, o = w[head], o[head]
-    return pa.RecordBatch.from_arrays([pa.array(g["key"][w]), pa.array(g["mark"][w]), pa.array((start[w] + o) * 256 + n)], ["key", "mark", "place"])
+    place = np.r_[(start[w] + o) * 256 + n, g["place"][again]]
+    return pa.RecordBatch.from_arrays([pa.array(np.r_[g["key"][w], g["key"][again]]), pa.array(np.r_[g["mark"][w], g["mark"][again]]), pa.array(place)], ["key", "mark", "place"])
 
 
 # ---------------------------------------------------------------- the operator
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the asked windows of each document; those of crowded minimisers string by string."""
-    for batch in batches:
-        h, key, mark, place, out = [], [], [], [], []
+    """The bytes of the asked windows of each document.
 
-        def flush():
-            rows = pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()), pa.array(key, pa.int64()), pa.array(mark, pa.int64()), pa.array(place, pa.int64()), pa.array(out, pa.binary())],
-                ["h", "key", "mark", "place", "bytes"],
-            )
-            for x in (h, key, mark, place, out):
-                x.clear()
-            return rows
+    Those of crowded minimisers come string by string, and of equal strings met here the first; the others are repeats, and
+    come without bytes, dealt by their document.
+    """
+    out: list[tuple] = []
+    single: dict[bytes, tuple] = {}  # key, mark and start of the first
+    again: list[list] = []  # key, mark, start, count
+
+    def flush():
+        out.extend((int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True), k, m, q * 256 + 1, s) for s, (k, m, q) in single.items())
+        out.extend((k ^ m, k, m, q * 256 + n, None) for k, m, q, n in again)
+        columns = zip(*out) if out else ([],) * 5
+        rows = pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i == 4 else pa.int64()) for i, x in enumerate(columns)], ["h", "key", "mark", "place", "bytes"])
+        for x in (out, single, again):
+            x.clear()
+        return rows
 
+    for batch in batches:
         for k, m, text, asked in zip(*(batch.column(c) for c in ("key", "mark", "text", "asked"))):
             raw, k, m = text.as_buffer().to_pybytes(), k.as_py(), m.as_py()
             for a in asked.as_py():
                 p, n = a["place"] >> 8, a["place"] & 255
                 if a["crowd"] <= CROWD:
-                    h.append(a["h"])
-                    key.append(k)
-                    mark.append(m)
-                    place.append(a["place"])
-                    out.append(raw[p : p + n - 1 + LENGTH])
-                else:
-                    for q in range(p, p + n):
-                        s = raw[q : q + LENGTH]
-                        h.append(int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True))
-                        key.append(k)
-                        mark.append(m)
-                        place.append(q * 256 + 1)
-                        out.append(s)
-            if len(h) > 20_000:
+                    out.append((a["h"], k, m, a["place"], raw[p : p + n - 1 + LENGTH]))
+                    continue
+                for q in range(p, p + n):
+                    s, here = raw[q : q + LENGTH], (k, m, q)
+                    other = single.setdefault(s, here)
+                    if other == here:
+                        continue
+                    if here < other:
+                        single[s] = here
+                    k2, m2, q2 = max(here, other)
+                    if again and again[-1][:2] == [k2, m2] and again[-1][2] + again[-1][3] == q2 and again[-1][3] < 255:
+                        again[-1][3] += 1
+                    else:
+                        again.append([k2, m2, q2, 1])
+            if len(out) + len(single) + len(again) > 20_000:
                 yield flush()
-        yield flush()
+    yield flush()
 
 
 def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -450,12 +531,9 @@ def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
     """``key, mark, gone``: for each text with repeats, the repeated strings as start * 256 + count."""
-    windows = docs.mapInArrow(emit_windows, WINDOW)
-    windows = stash(windows, "suffix-windows")
-    early = windows.where(~F.col("fresh")).select("key", "mark", "place")
     lanes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settled = stash(
-        windows.where("fresh").select("h", "c", "key", "mark", "place").repartition(lanes, "h").sortWithinPartitions("h")
+        docs.mapInArrow(emit_windows, WINDOW).repartition(lanes, "h").sortWithinPartitions("h")
         .mapInArrow(settle, "h long, key long, mark long, place long, crowd int"),
         "suffix-settled",
     )
@@ -463,7 +541,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     asked = settled.where("crowd > 0").groupBy("key", "mark").agg(F.collect_list(F.struct("h", "place", "crowd")).alias("asked"))
     cut = docs.join(stash(asked, "suffix-asked"), ["key", "mark"]).mapInArrow(cut_out, "h long, key long, mark long, place long, bytes binary")
     indexed = cut.repartition(lanes, "h").sortWithinPartitions("h").mapInArrow(emit_repeats, "key long, mark long, place long")
-    every = early.unionByName(whole).unionByName(indexed)
+    every = whole.unionByName(indexed)
     return stash(every.groupBy("key", "mark").agg(F.collect_list("place").alias("gone")), "suffix-gone")
 
 

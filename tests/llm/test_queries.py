@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,71 @@ def test_suffix_index():
         assert found == [i for i in range(len(text) - 11) if (text[i : i + 12] == piece).all()]
 
 
+def dealt(texts):
+    """Settled rows, strings that are dealt with their bytes, and repeated ``(text, start)``, as op3 finds them without Spark."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([0] * len(texts)), pa.array(texts, pa.binary())], ["key", "mark", "text"])
+    windows = pa.Table.from_batches(suffix.emit_windows(iter([batch.slice(i, 7) for i in range(0, len(texts), 7)]))).sort_by("h")
+    settled = pa.Table.from_batches(suffix.settle(iter(windows.to_batches(max_chunksize=100))))
+    asked = defaultdict(list)
+    for r in settled.to_pylist():
+        if r["crowd"]:
+            asked[r["key"]].append({c: r[c] for c in ("h", "place", "crowd")})
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("place", pa.int64()), ("crowd", pa.int32())]))
+    wanted = pa.RecordBatch.from_arrays([*batch.columns, pa.array([asked[i] for i in range(len(texts))], kind)], ["key", "mark", "text", "asked"])
+    cut = pa.Table.from_batches(suffix.cut_out(iter([wanted.filter(pa.array([bool(asked[i]) for i in range(len(texts))]))]))).sort_by("h")
+    found = [r for r in settled.to_pylist() if not r["crowd"]]
+    if len(cut):
+        found += [r for b in suffix.emit_repeats(iter(cut.to_batches(max_chunksize=50))) for r in b.to_pylist()]
+    gone = [(r["key"], p) for r in found for p in range(r["place"] >> 8, (r["place"] >> 8) + (r["place"] & 255))]
+    return settled, sum(r["place"] & 255 for r in cut.to_pylist() if r["bytes"] is not None), gone
+
+
+def repeated(texts):
+    seen, want = set(), []
+    for i, t in enumerate(texts):
+        for p in range(len(t) - 99):
+            if t[p : p + 100] in seen:
+                want.append((i, p))
+            seen.add(t[p : p + 100])
+    return want
+
+
+@pytest.mark.parametrize("crowd", [1, 3, 2000])
+def test_suffix_dealt(monkeypatch, crowd):
+    """Shared passages of all lengths between texts that differ about them, few and many of a kind."""
+    monkeypatch.setattr(suffix, "CROWD", crowd)
+    rng = np.random.default_rng(crowd)
+    for letters in (b"ab", b"abcdefgh", bytes(range(256))):
+        draw = lambda n: bytes(rng.choice(list(letters), n).tolist())
+        passages = [draw(int(rng.integers(20, 260))) for _ in range(6)]
+        texts = []
+        for _ in range(40):
+            t = b"".join(draw(int(rng.integers(0, 90))) + passages[rng.integers(6)] for _ in range(4))
+            texts.append(t if rng.integers(9) else texts[-1] if texts else t)
+        texts += [t[: len(t) // 2] + b"~" + t[len(t) // 2 :] for t in texts[:10]]
+        assert sorted(dealt(texts)[2]) == repeated(texts)
+
+
+def test_suffix_settled_by_range():
+    """Windows that share a minimiser and no string are settled before their bytes are dealt."""
+    rng = np.random.default_rng(5)
+    passage = rng.bytes(80)
+    texts = [rng.bytes(150) + passage + rng.bytes(150) for _ in range(60)]
+    settled, strings, gone = dealt(texts)
+    assert not gone and not len(settled) and not strings
+
+
+def test_suffix_crowded(monkeypatch):
+    """Of the strings of a passage with crowded edges, one of each kind is dealt."""
+    monkeypatch.setattr(suffix, "CROWD", 20)
+    rng = np.random.default_rng(6)
+    passage = rng.bytes(140)
+    texts = [rng.bytes(150) + passage + rng.bytes(150) for _ in range(60)]
+    _, strings, gone = dealt(texts)
+    assert sorted(gone) == repeated(texts)
+    assert strings < 41 + 60 * 2 * 19
+
+
 def brute_classes(texts):
     memo, bags, by = {}, {}, defaultdict(list)
     for i, t in texts.items():
